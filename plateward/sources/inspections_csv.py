@@ -93,5 +93,10 @@ def rejected(records: DataFrame) -> DataFrame:
 def write_csv(raw: DataFrame, path: str) -> None:
     """Raw inspections as CSV files that ``read_inspections`` reads back unchanged."""
     raw.select(*RAW_COLUMNS).write.mode("overwrite").options(
-        header=True, quoteAll=True, quote='"', escape='"'
+        header=True,
+        quoteAll=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     ).csv(path)
