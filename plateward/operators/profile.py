@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plateward.functions.inspection import percent, year_month
 from plateward.functions.text import normal_form
+from plateward.operators.quality import foreign_values
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,18 +56,8 @@ def column_profile(
 
 def domain_violations(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
     """Rows per value outside its column's domain. NULL is inside."""
-    cells = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.when(~F.col(name).isin(*values), F.col(name).cast("string")).alias("value"),
-            )
-            for name, values in domains.items()
-        )
-    )
     return (
-        df.select(F.inline(cells))
-        .where(F.col("value").isNotNull())
+        foreign_values(df, domains)
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("rows"))
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -39,20 +40,29 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     return _as_rows(repeated, "unique", [column])
 
 
-def accepted_values(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
-    """Failures: distinct values outside the column's domain. NULL is accepted."""
-    columns = list(domains)
+def foreign_values(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
+    """``column_name, value`` of every cell that holds a value outside its domain.
+
+    Rows without such a cell are filtered out before cells become rows.
+    """
+    foreign = {name: ~F.col(name).isin(*values) for name, values in domains.items()}
     cells = F.array(
         *(
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.when(~F.col(name).isin(*domains[name]), F.col(name).cast("string")).alias("value"),
+                F.when(outside, F.col(name).cast("string")).alias("value"),
             )
-            for name in columns
+            for name, outside in foreign.items()
         )
     )
-    outside = df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
-    counts = outside.agg(
+    some = reduce(or_, (F.coalesce(outside, F.lit(False)) for outside in foreign.values()))
+    return df.where(some).select(F.inline(cells)).where(F.col("value").isNotNull())
+
+
+def accepted_values(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
+    """Failures: distinct values outside the column's domain. NULL is accepted."""
+    columns = list(domains)
+    counts = foreign_values(df, domains).distinct().agg(
         *(F.count_if(F.col("column_name") == name).alias(name) for name in columns)
     )
     return _as_rows(counts, "accepted_values", columns)

@@ -15,6 +15,21 @@ SETTINGS = {
 }
 
 
+def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a job whose largest shuffle moves about ``shuffle_bytes``.
+
+    Adaptive execution merges partitions that turn out small and splits skewed
+    ones, but starts from this number, so it must fit the largest shuffle.
+    """
+    return {
+        **SETTINGS,
+        "spark.sql.shuffle.partitions": str(max(200, -(-shuffle_bytes // partition_bytes))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (

@@ -93,6 +93,7 @@ TREES = 300
 TREE_DEPTH = 6
 LEARNING_RATE = 0.05
 SEED = 42
+SPLIT_BINS = 256  # split candidates per feature
 
 JDBC_BATCH_ROWS = 5000
 
