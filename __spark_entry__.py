@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -184,10 +185,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     raw = raw_inspections(spark, sf_dir).withColumn("location", F.lit(None).cast("string"))
     inspections_csv.write_csv(raw, path)
-    loaded_at = F.expr("timestamp_ntz'2026-01-01 06:00:00'")
-    return inspections_csv.accepted(
-        inspections_csv.read_inspections(spark, path, ingested_at=loaded_at)
-    )
+    records = inspections_csv.read_inspections(spark, path, ingested_at=datetime(2026, 1, 1, 6))
+    return inspections_csv.accepted(records)
 
 
 def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:

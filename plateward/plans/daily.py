@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from plateward.operators.quality import run_suite
 from plateward.plans.mart import build_mart
@@ -48,7 +48,7 @@ def ingest(
     source: str,
     target: str,
     on_bad: str = "quarantine",
-    ingested_at: Column | None = None,
+    ingested_at: datetime | None = None,
 ) -> tuple[int, int]:
     """Land CSV files as Parquet below ``target``; returns rows loaded and rejected.
 
@@ -108,7 +108,7 @@ def run_daily(
     on_bad: str = "quarantine",
     layers: Layers = Layers(),
     default_layer: str = "default",
-    ingested_at: Column | None = None,
+    ingested_at: datetime | None = None,
 ) -> Run:
     """CSV files to published raw, staging and mart tables.
 

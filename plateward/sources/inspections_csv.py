@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -37,11 +38,18 @@ def field_count(record: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
+def _load_time(given: datetime | None) -> Column:
+    """The given time, else the query's start: one value for all rows of a load."""
+    if given is None:
+        return F.current_timestamp().cast("timestamp_ntz")
+    return F.to_timestamp_ntz(F.lit(given.isoformat(sep=" ")))
+
+
 def read_inspections(
     spark: SparkSession,
     path: str | Sequence[str],
     tokens: Sequence[str] = MISSING_TOKENS,
-    ingested_at: Column | None = None,
+    ingested_at: datetime | None = None,
     keep_short_rows: bool = True,
 ) -> DataFrame:
     """All records of the files: the 17 columns, ``ingested_at``, and for a bad
@@ -76,7 +84,7 @@ def read_inspections(
     record = F.coalesce(F.col(MALFORMED), F.to_csv(F.struct(*RAW_COLUMNS)))
     return texts.select(
         *(typed.get(c, present[c]).alias(c) for c in RAW_COLUMNS),
-        (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
+        _load_time(ingested_at).alias("ingested_at"),
         reason.alias("reject_reason"),
         F.when(reason.isNotNull(), record).alias("record"),
     )
