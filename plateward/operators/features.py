@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from plateward.functions.inspection import passed
 from plateward.operators.explore import load_mart
 from plateward.operators.running import id_block, running_before
-from plateward.session import scratch_path
+from plateward.session import stored
 from plateward.values import (
     CV_FOLDS,
     EVALUATED_RESULTS,
@@ -58,15 +58,12 @@ def label_codes(df: DataFrame, columns=tuple(LABEL_COLUMNS)) -> DataFrame:
 
 
 def stored_label_codes(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Label codes as a written table.
+    """Label codes as a written table: fitting ends here.
 
-    Fitting ends here: the codes no longer depend on the modelling set's
-    lineage, and Spark knows their true size when it plans the joins.
+    One folder per column, so that each column's codes are read, and their size
+    judged for a broadcast, without the others.
     """
-    spark = df.sparkSession
-    path = path or scratch_path(spark, "label-codes")
-    label_codes(df).write.mode("overwrite").parquet(path)
-    return spark.read.schema("column_name string, value string, code int").parquet(path)
+    return stored(label_codes(df), "label-codes", path, partition_by=["column_name"])
 
 
 def encode(df: DataFrame, codes: DataFrame, columns: Mapping[str, str] = LABEL_COLUMNS) -> DataFrame:

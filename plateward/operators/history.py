@@ -48,15 +48,16 @@ def license_days(df: DataFrame) -> DataFrame:
             F.min("inspection_id").alias("first_id"),
         )
     )
-    licence = Window.partitionBy(LICENCE)
+    in_order = Window.partitionBy(LICENCE).orderBy("day_number")  # one sort for both windows
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return days.select(
         LICENCE,
         "day_number",
         "first_id",
-        F.sum("inspections").over(licence).alias("total_inspections"),
-        F.sum("fails").over(licence).alias("total_fails"),
-        F.sum("passes").over(licence).alias("total_passes"),
-        F.lag("day_number").over(licence.orderBy("day_number")).alias("previous_day"),
+        F.sum("inspections").over(whole).alias("total_inspections"),
+        F.sum("fails").over(whole).alias("total_fails"),
+        F.sum("passes").over(whole).alias("total_passes"),
+        F.lag("day_number").over(in_order).alias("previous_day"),
     )
 
 

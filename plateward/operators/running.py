@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 # Rows of one block hold consecutive ids, so unique ids bound a block's size.
 BLOCK_IDS = 1 << 20
+NO_ID = (1 << 63) - 1
 
 
 def id_block(id_column: str):
-    """Coarse order of an integer id: blocks of ``BLOCK_IDS`` consecutive values."""
-    return F.shiftright(F.col(id_column).cast("bigint"), BLOCK_IDS.bit_length() - 1)
+    """Coarse order of an integer id: blocks of ``BLOCK_IDS`` consecutive values.
+
+    Rows without an id form a block of their own after all others.
+    """
+    block = F.shiftright(F.col(id_column).cast("bigint"), BLOCK_IDS.bit_length() - 1)
+    return F.coalesce(block, F.lit(NO_ID))
 
 
 def running_before(

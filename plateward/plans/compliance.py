@@ -15,7 +15,7 @@ from plateward.operators.features import (
     stored_label_codes,
     temporal_split,
 )
-from plateward.session import scratch_path
+from plateward.session import scratch_path, stored
 from plateward.values import TREES
 
 
@@ -39,8 +39,11 @@ class Compliance:
 
 
 def encoded_set(mart: DataFrame, codes_path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """The numeric modelling set and the label codes it was encoded with."""
-    rows = impute(modelling_set(mart))
+    """The numeric modelling set and the label codes it was encoded with.
+
+    The set is stored first: coding, weighting and training each read it.
+    """
+    rows = stored(impute(modelling_set(mart)), "modelling-set")
     codes = stored_label_codes(rows, codes_path)
     return encode(rows, codes), codes
 
@@ -52,11 +55,10 @@ def train(mart: DataFrame, path: str | None = None, trees: int = TREES) -> Compl
     (``label_codes``) and the scored test rows (``scored``): the evaluation
     tables all read these rows, so they are computed once.
     """
-    spark = mart.sparkSession
-    path = path or scratch_path(spark, "compliance")
+    path = path or scratch_path(mart.sparkSession, "compliance")
     rows, codes = encoded_set(mart, f"{path}/label_codes")
     training, test = temporal_split(rows)
     model = classifier.fit(training, trees)
     classifier.save(model, f"{path}/model")
-    classifier.score(model, test).write.mode("overwrite").parquet(f"{path}/scored")
-    return Compliance(model, codes, spark.read.parquet(f"{path}/scored"))
+    scored = stored(classifier.score(model, test), "scored", f"{path}/scored")
+    return Compliance(model, codes, scored)

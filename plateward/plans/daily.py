@@ -60,9 +60,13 @@ def ingest(
         raise ValueError(f"unknown on_bad: {on_bad}")
     counted = Observation("records")
     bad = F.col("reject_reason").isNotNull()
-    records = read_inspections(spark, source, ingested_at=ingested_at).observe(
+    found = read_inspections(spark, source, ingested_at=ingested_at)
+    records = found.observe(
         counted, F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("rejected")
     )
+    cores = spark.sparkContext.defaultParallelism
+    if found.rdd.getNumPartitions() < cores:  # a few large files: let all cores encode and scan
+        records = records.repartition(cores)
     if on_bad == "skip":
         records = records.where(~bad)
     records.withColumn("status", F.when(bad, "rejected").otherwise("accepted")).write.mode(

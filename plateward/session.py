@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do not record the Python call site of every column expression: with
+    # hundreds of expressions that takes longer than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -66,3 +70,17 @@ def checkpoint_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for one written table below the checkpoint folder."""
     return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(
+    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """The rows written once as a table and read back.
+
+    Cuts the lineage: whatever reads the result does not recompute it, also when
+    an executor is lost, and Spark plans with its true size.
+    """
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path, partitionBy=list(partition_by))
+    return spark.read.schema(df.schema).parquet(path)

@@ -123,6 +123,14 @@ def test_id_block_keeps_order(spark):
     assert blocks == sorted(blocks) and blocks[2:5] == [0, 0, 1]
 
 
+def test_rows_without_id_or_date_are_kept(spark):
+    rows = [(None, "a", None, "Fail"), (1, "a", dt.date(2020, 1, 1), "Fail"), (None, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    prior = {(r.inspection_id, r.license_number): r.prior_fails for r in history.license_history_asof(df).collect()}
+    assert prior == {(None, "a"): 1, (1, "a"): 0, (None, None): 0}
+    assert history.attach_license_days(df).count() == 3
+
+
 def test_running_before_with_one_level(spark):
     df = spark.createDataFrame([("a", 2, 10), ("a", 1, 5), ("b", 1, 7)], "k string, o int, v int")
     found = {tuple(r) for r in running_before(df, ["k"], ["o"], ["v"]).collect()}
