@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from plateward.operators.quality import run_suite
 from plateward.plans.mart import build_mart
 from plateward.plans.staging import build_staging
+from plateward.session import stored
 from plateward.sources.inspections_csv import read_inspections
 from plateward.sources.tables import namespace, publish
 from plateward.values import MART_TESTS, STAGING_TESTS
@@ -60,13 +61,9 @@ def ingest(
         raise ValueError(f"unknown on_bad: {on_bad}")
     counted = Observation("records")
     bad = F.col("reject_reason").isNotNull()
-    found = read_inspections(spark, source, ingested_at=ingested_at)
-    records = found.observe(
+    records = read_inspections(spark, source, ingested_at=ingested_at).observe(
         counted, F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("rejected")
     )
-    cores = spark.sparkContext.defaultParallelism
-    if found.rdd.getNumPartitions() < cores:  # a few large files: let all cores encode and scan
-        records = records.repartition(cores)
     if on_bad == "skip":
         records = records.where(~bad)
     records.withColumn("status", F.when(bad, "rejected").otherwise("accepted")).write.mode(
@@ -89,13 +86,6 @@ def quarantined(spark: SparkSession, target: str) -> DataFrame:
     return records.select("reject_reason", "record")
 
 
-def write_mart(mart: DataFrame, path: str) -> None:
-    """Mart files by year, of even size: a year is spread over as many tasks as it needs."""
-    mart.hint("rebalance", "inspection_year").write.mode("overwrite").partitionBy(
-        "inspection_year"
-    ).parquet(path)
-
-
 def check(tests: DataFrame) -> None:
     """Raise if a test failed. The result has one row per declared test."""
     failures = tests.where(~F.col("passed")).collect()
@@ -127,9 +117,7 @@ def run_daily(
     loaded, bad = ingest(spark, source, raw_path, on_bad, ingested_at)
 
     staging = build_staging(landed(spark, raw_path))
-    write_mart(build_mart(staging), mart_path)
-
-    new_mart = spark.read.parquet(mart_path)
+    new_mart = stored(build_mart(staging), "mart", mart_path, partition_by=["inspection_year"])
     tests = (
         run_suite(staging, STAGING_TESTS)
         .withColumn("model", F.lit("stg_inspections"))

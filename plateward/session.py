@@ -72,6 +72,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def by_folder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows arranged for writing one folder per value of ``columns``.
+
+    Each folder gets files of even size: small ones from few tasks instead of a
+    sliver from every task, a large one from as many tasks as it needs.
+    """
+    return df.hint("rebalance", *columns) if columns else df
+
+
 def stored(
     df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -82,5 +91,5 @@ def stored(
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path, partitionBy=list(partition_by))
+    by_folder(df, partition_by).write.mode("overwrite").parquet(path, partitionBy=list(partition_by))
     return spark.read.schema(df.schema).parquet(path)

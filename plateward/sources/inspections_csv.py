@@ -69,6 +69,9 @@ def read_inspections(
         .schema(T.StructType(fields))
         .csv(path)
     )
+    cores = spark.sparkContext.defaultParallelism
+    if texts.rdd.getNumPartitions() < cores:  # few files: one task each reads, all cores do the rest
+        texts = texts.repartition(cores, "inspection_id", "dba_name")
     present = {c: missing_to_null(F.col(c), tokens) for c in RAW_COLUMNS}
     typed = {c: present[c].try_cast(kind) for c, kind in RAW_TYPES.items()}
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plateward.session import by_folder
 from plateward.values import JDBC_BATCH_ROWS
 
 
@@ -40,7 +41,7 @@ def as_table(
     """Store the rows as a Parquet table, replacing its content, and return it."""
     spark = df.sparkSession
     target = qualified(spark, layer, name)
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = by_folder(df, partition_by).write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
