@@ -296,6 +296,9 @@ def queries() -> dict[str, Query]:
         "exclusion_audit": _on(_staging, profile.exclusion_audit),
         "license_history_asof": _on(_inside, history.license_history_asof),
         "modelling_set": _modelled,
+        "modelling_set_asof": lambda spark, sf_dir: features.modelling_set(
+            history.point_in_time(_mart(spark, sf_dir))
+        ),
         "label_codes": _on(_modelled, features.label_codes),
         "encoded_features": encoded_features,
         "temporal_split_counts": temporal_split_counts,

@@ -441,6 +441,16 @@ spoiled AS (
             " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
         ),
         "modelling_set": _q(_MODEL, "SELECT * FROM modelled"),
+        "modelling_set_asof": _q(
+            _MODEL,
+            "SELECT * EXCLUDE (seen, seen_failed) REPLACE (coalesce(seen, 0) AS license_total_inspections,"
+            " CAST(coalesce(seen_failed, 0) AS BIGINT) AS license_total_fails,"
+            " coalesce(seen_failed, 0) > 1 AS repeat_fail_flag)"
+            " FROM modelled LEFT JOIN (SELECT inspection_id, count(*) OVER earlier AS seen,"
+            "  sum(fail_flag) OVER earlier AS seen_failed FROM mart WHERE license_number IS NOT NULL"
+            "  WINDOW earlier AS (PARTITION BY license_number ORDER BY inspection_date NULLS LAST, inspection_id"
+            "  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) USING (inspection_id)",
+        ),
         "label_codes": _q(_FILLED, "SELECT * FROM codes"),
         "encoded_features": _q(
             _FILLED,

@@ -8,6 +8,8 @@ which the calendar bounds; windows run over those days only.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plateward.functions.inspection import failed, passed
@@ -93,13 +95,14 @@ def previous_inspection(df: DataFrame) -> DataFrame:
     )
 
 
-def license_history_asof(df: DataFrame) -> DataFrame:
+def license_history_asof(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Totals of the licence's earlier inspections only, without the row itself.
 
     Earlier means an earlier date, or the same date and a smaller id; undated
-    rows come last. Rows without a licence have no history: all zeros.
+    rows come last. Rows without a licence have no history: all zeros. ``keep``
+    names further columns to carry along.
     """
-    output = ("inspection_id", LICENCE, "inspection_date")
+    output = ("inspection_id", LICENCE, "inspection_date", *keep)
     measures = ("inspections", "fails", "passes")
     names = {f"{m}_before": f"prior_{m}" for m in measures}
     result = F.col("results")
@@ -121,3 +124,20 @@ def license_history_asof(df: DataFrame) -> DataFrame:
         *output, *(none.alias(name) for name in names.values())
     )
     return earlier.unionByName(unlicensed)
+
+
+def point_in_time(mart: DataFrame) -> DataFrame:
+    """The mart with its licence totals as they were before each inspection.
+
+    For a model that must not learn from an inspection's own result or from
+    later ones. The totals then start at zero.
+    """
+    replaced = {
+        "license_total_inspections": F.col("prior_inspections"),
+        "license_total_fails": F.col("prior_fails"),
+        "license_total_passes": F.col("prior_passes"),
+        "repeat_fail_flag": F.col("prior_fails") > 1,
+    }
+    known = {"inspection_id", LICENCE, "inspection_date", *replaced}
+    kept = [c for c in mart.columns if c not in known]
+    return license_history_asof(mart, kept).withColumns(replaced).select(*mart.columns)

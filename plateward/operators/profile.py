@@ -40,13 +40,25 @@ def distinct_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return values.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
 
 
+def approximate_distinct_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Estimated number of distinct values of each column: one pass, nothing shuffled but sketches."""
+    sketches = df.agg(*(F.approx_count_distinct(c).alias(c) for c in columns))
+    rows = F.array(
+        *(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in columns)
+    )
+    return sketches.select(F.inline(rows))
+
+
 def column_profile(
-    df: DataFrame, columns: Sequence[str], distinct_columns: Sequence[str] | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    distinct_columns: Sequence[str] | None = None,
+    exact: bool = True,
 ) -> DataFrame:
     """NULL count, NULL share and distinct values; the last only where asked for."""
     chosen = columns if distinct_columns is None else distinct_columns
     nulls = null_profile(df, columns)
-    distincts = distinct_profile(df, chosen)
+    distincts = (distinct_profile if exact else approximate_distinct_profile)(df, chosen)
     # Both sides have one row per profiled column.
     return nulls.join(F.broadcast(distincts), "column_name", "left").withColumn(
         "distinct_values",
@@ -69,10 +81,12 @@ def variants(df: DataFrame, column: str, normaliser=normal_form) -> DataFrame:
     ``affected_rows`` are the rows not written in the most frequent way.
     """
     spellings = (
-        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("spelling"))
+        .agg(F.count("*").alias("n"))
     )
     return (
-        spellings.groupBy(normaliser(F.col(column)).alias("normal_form"))
+        spellings.groupBy(normaliser(F.col("spelling")).alias("normal_form"))
         .agg(
             F.count("*").alias("spellings"),
             F.sum("n").alias("rows"),
