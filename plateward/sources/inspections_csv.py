@@ -15,10 +15,6 @@ CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 MALFORMED = "_malformed"
 
 
-def header_width(spark: SparkSession, path: str | Sequence[str]) -> int:
-    return len(spark.read.options(**CSV_OPTIONS).csv(path).columns)
-
-
 def rename_positional(df: DataFrame, names: Sequence[str] = RAW_COLUMNS) -> DataFrame:
     """Name the columns by position; another number of columns is an error."""
     if len(df.columns) != len(names):
@@ -60,9 +56,7 @@ def read_inspections(
     ``keep_short_rows`` is off. Every column is read as text first, so that a
     missing-value text in a number column is NULL and not an error.
     """
-    width = header_width(spark, path)
-    if width != len(RAW_COLUMNS):
-        raise ValueError(f"expected {len(RAW_COLUMNS)} columns, found {width}")
+    rename_positional(spark.read.options(**CSV_OPTIONS).csv(path))  # reads the header only
     fields = [T.StructField(name, T.StringType()) for name in (*RAW_COLUMNS, MALFORMED)]
     texts = (
         spark.read.options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)

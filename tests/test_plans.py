@@ -68,6 +68,37 @@ def test_mart_does_not_need_broadcasts(raw, large):
     assert mart.count() == build_staging(raw).where(~F.col("flag_out_of_jurisdiction")).count()
 
 
+def test_join_of_a_hot_licence_and_day_is_split(spark, large):
+    """A third of all rows on one licence and one day: their join runs in several tasks."""
+    large("-1")
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    hot = F.col("inspection_id") % 3 == 0
+    rows = raw_inspections(spark, "/root/testdata/sf0.01").withColumns(
+        {
+            "license_number": F.when(hot, "hot").otherwise(F.col("license_number")),
+            "inspection_date": F.when(hot, "03/01/2020").otherwise(F.col("inspection_date")),
+        }
+    )
+    skewed = stored(rows.repartition(16), "skewed")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        mart = build_mart(build_staging(skewed))
+        plan = final(mart)
+        assert "SortMergeJoin(skew=true)" in plan
+        totals = mart.where("license_number = 'hot'").agg(
+            F.count("*"), F.max("license_total_inspections"), F.count_if(F.col("days_since_previous_inspection") == 0)
+        ).first()
+        assert totals[0] == totals[1] == totals[2] + 1 > 4000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_plan_holds_no_cross_join_and_no_python(spark):
     for name, query in registry.queries().items():
         if name.startswith(("gbt", "csv", "table")):
