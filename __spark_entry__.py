@@ -171,7 +171,7 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = compliance.encoded_set(_mart(spark, sf_dir))
     train, _ = features.temporal_split(rows)
-    return model.importances(spark, model.fit(train, DEMO_TREES))
+    return model.importances(spark, model.fit(features.with_weight(train), DEMO_TREES))
 
 
 def gbt_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:

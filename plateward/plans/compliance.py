@@ -14,6 +14,7 @@ from plateward.operators.features import (
     modelling_set,
     stored_label_codes,
     temporal_split,
+    with_weight,
 )
 from plateward.session import scratch_path, stored
 from plateward.values import TREES
@@ -58,7 +59,7 @@ def train(mart: DataFrame, path: str | None = None, trees: int = TREES) -> Compl
     path = path or scratch_path(mart.sparkSession, "compliance")
     rows, codes = encoded_set(mart, f"{path}/label_codes")
     training, test = temporal_split(rows)
-    model = classifier.fit(training, trees)
+    model = classifier.fit(with_weight(training), trees)
     classifier.save(model, f"{path}/model")
     scored = stored(classifier.score(model, test), "scored", f"{path}/scored")
     return Compliance(model, codes, scored)

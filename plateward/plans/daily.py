@@ -12,7 +12,7 @@ from plateward.plans.mart import build_mart
 from plateward.plans.staging import build_staging
 from plateward.session import stored
 from plateward.sources.inspections_csv import read_inspections
-from plateward.sources.tables import namespace, publish
+from plateward.sources.tables import as_view, namespace, publish, table
 from plateward.values import MART_TESTS, STAGING_TESTS
 
 
@@ -132,10 +132,11 @@ def run_daily(
     publish(spark, raw_layer, "inspections", f"{raw_path}/status=accepted")
     publish(spark, mart_layer, "mart_inspections", mart_path)
     publish(spark, staging_layer, "data_tests", tests_path)
+    as_view(staging_table(spark, raw_layer), "stg_inspections")
     return Run(raw_path, mart_path, tests_path, loaded, bad)
 
 
-def staging_table(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
+def staging_table(spark: SparkSession, raw_layer: str = Layers.raw) -> DataFrame:
     """The staging layer over the published raw table: computed when read."""
-    raw = spark.table(f"`{layers.raw}`.`inspections`").drop("reject_reason", "record")
+    raw = table(spark, raw_layer, "inspections").drop("reject_reason", "record")
     return build_staging(raw)

@@ -12,6 +12,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _violations(lineitem: DataFrame) -> DataFrame:
+    """The violation text of each order: one cell, like the text of one inspection."""
     part = F.concat_ws("", F.col("l_linenumber"), F.lit(". QTY "), F.col("l_quantity").cast("int"))
     return (
         lineitem.where(F.col("l_returnflag") != "N")

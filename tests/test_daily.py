@@ -5,7 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from plateward.__main__ import main
 from plateward.plans import daily
+from plateward.plans.exploration import explore_tables
 from plateward.plans.mart import build_mart
 from plateward.plans.staging import build_staging
 from plateward.sources import tables
@@ -42,12 +44,31 @@ def test_published_tables_equal_the_lazy_layers(spark, published):
     mart = build_mart(staging)
     stored = tables.table(spark, "job_marts", "mart_inspections").select(*mart.columns)
     assert stored.exceptAll(mart).count() == 0 and mart.exceptAll(stored).count() == 0
-    again = daily.staging_table(spark, LAYERS).select(*staging.columns)
+    again = spark.table("stg_inspections").select(*staging.columns)
     assert again.exceptAll(staging).count() == 0 and again.count() == staging.count()
     tests = tables.table(spark, "job_staging", "data_tests")
     assert tests.count() == 24 and tests.where(~F.col("passed")).count() == 0
 
 
+def test_exploration_of_the_published_mart(spark, published):
+    found = explore_tables(tables.table(spark, "job_marts", "mart_inspections"))
+    counted = {name: df.count() for name, df in found.items()}
+    assert counted["results_distribution"] == 7 and counted["violations_by_risk"] == 3
+    assert counted["flag_summary"] == 3 and counted["year_span"] == counted["row_counts"] == 1
+    assert found["row_counts"].first().rows == sum(r.total for r in found["yearly_trend"].collect())
+    assert counted["fail_rate_by_type"] <= 10
+
+
+def test_commands(spark, published, capsys, tmp_path):
+    run, _, folder = published
+    main(["ingest", str(folder / "csv"), str(tmp_path / "raw")], spark)
+    assert f"loaded {run.loaded}, rejected 0" in capsys.readouterr().out
+    main(["explore", "--mart", run.mart_path], spark)
+    assert "yearly_trend" in capsys.readouterr().out
+    main(["train", str(tmp_path / "model"), "--mart", run.mart_path, "--trees", "2"], spark)
+    assert "classification_report" in capsys.readouterr().out
+
+
 def test_year_filter_prunes_files(spark, published):
     scan = tables.table(spark, "job_marts", "mart_inspections").where("inspection_year >= 2024").select("zip")
     plan = scan._jdf.queryExecution().executedPlan().toString()
