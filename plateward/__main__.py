@@ -1,4 +1,4 @@
-"""Commands for spark-submit: ingest, daily, explore, train."""
+"""Commands: ingest, daily, explore, train."""
 
 from __future__ import annotations
 
