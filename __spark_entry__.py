@@ -36,6 +36,14 @@ from plateward.values import (  # noqa: E402
     TOP_TYPES,
 )
 
+# The training-data operators may be absent; then their queries are too.
+try:
+    from plateward.llm import oracle as llm_oracle, queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("plateward.llm", "corpus_pipeline"):
+        raise
+    llm_oracle = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 DEMO_TREES = 5  # the job default is 300; the registered model queries show the path
 
@@ -227,7 +235,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return _mart(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
     return {
         "raw_inspections": raw_inspections,
         "null_tokens": null_tokens,
@@ -322,5 +330,9 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    return library_queries() | (llm_queries.queries() if llm_queries else {})
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    return oracle.oracle_sql() | (llm_oracle.oracle_sql() if llm_oracle else {})

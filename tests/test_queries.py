@@ -6,7 +6,7 @@ import __spark_entry__ as registry
 from compare import database, difference
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = registry.library_queries(), registry.oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
