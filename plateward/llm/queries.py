@@ -6,17 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plateward.llm import line_frequency, rule_ledger, virtual_slots
+from plateward.llm import (
+    decontamination,
+    discriminant,
+    line_frequency,
+    longest_match,
+    rule_ledger,
+    secret_ownership,
+    virtual_slots,
+)
 from plateward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
+# Vocabulary of the token counts: a public sentence-piece model.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.without_boilerplate(table(spark, sf_dir, "pages"))
 
 
+def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scans = decontamination.scanned(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.report(scans)
+
+
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rule_ledger.ledger(table(spark, sf_dir, "documents"))
     return entries.select(
@@ -46,9 +62,26 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discriminant.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    begin, inside = longest_match.read_vocabulary(VOCABULARY)
+    return longest_match.token_counts(table(spark, sf_dir, "documents"), begin, inside)
+
+
+def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ownership.secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_frequency": op1_line_frequency,
+        "op2_fm_index": op2_fm_index,
         "op4_rule_ledger": op4_rule_ledger,
         "op6_virtual_slots": op6_virtual_slots,
+        "op7_quadratic_discriminant": op7_quadratic_discriminant,
+        "op8_longest_match": op8_longest_match,
+        "op10_secret_ownership": op10_secret_ownership,
     }
