@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plateward.llm import (
     decontamination,
     discriminant,
+    jaccard_join,
     line_frequency,
     longest_match,
     rule_ledger,
@@ -33,6 +34,10 @@ def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(scans)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rule_ledger.ledger(table(spark, sf_dir, "documents"))
     return entries.select(
@@ -79,6 +84,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_line_frequency": op1_line_frequency,
         "op2_fm_index": op2_fm_index,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_rule_ledger": op4_rule_ledger,
         "op6_virtual_slots": op6_virtual_slots,
         "op7_quadratic_discriminant": op7_quadratic_discriminant,
