@@ -301,3 +301,47 @@ def groups(
         F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.lit(1)).otherwise(F.col("size")).alias("class_size"),
     )
+
+
+def one_per_group(
+    docs: DataFrame,
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    orders: int = ORDERS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with their columns, without all but one document of each group.
+
+    The one with the least id stays, rows without an id coming last. Documents without words all stay.
+    """
+    text = F.col(f"`{text_column}`")
+    record_id = F.col(f"`{id_column}`")
+    # A hash of the text tells apart rows that have one id.
+    key = F.struct(record_id.isNull().alias("none"), record_id.alias("id"), F.xxhash64(text).alias("text"))
+    rows, found = linked(docs.select(key.alias("id"), text.alias("text")), width, percent, orders)
+    keys = rows.where("n > 0").groupBy("node", "id").agg(F.count("*").alias("rows"))
+    labelled = keys.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = labelled.groupBy("component").agg(F.min("id").alias("keeper"))
+    keeps = F.col("id").eqNullSafe(F.col("keeper")).alias("keeps")
+    judged = stored(labelled.join(least, "component").select("id", "rows", keeps), "judged")
+    repeats = F.col("keeps") & (F.col("rows") > 1)
+    dropped, again = judged.where(~F.col("keeps")), judged.where(repeats)
+    counts = judged.agg(
+        F.count_if(~F.col("keeps")).alias("dropped"), F.count_if(repeats).alias("again")
+    ).first()
+
+    def small(keys: DataFrame, count: int) -> DataFrame:
+        named = keys.select(F.col("id").alias("__judged"))
+        return F.broadcast(named) if count <= BROADCAST_IDS else named
+
+    keyed = docs.withColumn("__key", key)
+    if counts["dropped"]:
+        gone = small(dropped, counts["dropped"])
+        keyed = keyed.join(gone, F.col("__key").eqNullSafe(F.col("__judged")), "left_anti")
+    if counts["again"]:
+        several = small(again, counts["again"])
+        met = F.col("__key").eqNullSafe(F.col("__judged"))
+        once = keyed.join(several, met, "left_semi").dropDuplicates(["__key"])
+        keyed = keyed.join(several, met, "left_anti").unionByName(once)
+    return keyed.drop("__key")

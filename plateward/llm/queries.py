@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from plateward.llm import (
     decontamination,
     discriminant,
+    entropy_mix,
     jaccard_join,
     line_frequency,
     longest_match,
+    preference_format,
     rule_ledger,
     secret_ownership,
     virtual_slots,
@@ -53,6 +56,12 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mix = entropy_mix.mixed(docs)
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return virtual_slots.sharded(docs, SHARDS).select(
@@ -76,18 +85,36 @@ def op8_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longest_match.token_counts(table(spark, sf_dir, "documents"), begin, inside)
 
 
+def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against its variant with the last reply replaced."""
+    chosen = preference_format.conversations(table(spark, sf_dir, "conversations"))
+    pairs = chosen.select(
+        "conv_id",
+        F.col("turns").alias("chosen"),
+        preference_format.replaced_reply(F.col("turns")).alias("rejected"),
+    )
+    return preference_format.formatted(pairs)
+
+
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.secrets(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_frequency": op1_line_frequency,
         "op2_fm_index": op2_fm_index,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_rule_ledger": op4_rule_ledger,
+        "op5_entropy_mix": op5_entropy_mix,
         "op6_virtual_slots": op6_virtual_slots,
         "op7_quadratic_discriminant": op7_quadratic_discriminant,
         "op8_longest_match": op8_longest_match,
+        "op9_preference_format": op9_preference_format,
         "op10_secret_ownership": op10_secret_ownership,
+        "pipeline": pipeline,
     }
