@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -40,7 +40,16 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, b: a + b)
 
 
-def widened(df: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """The named columns, then those of ``df`` that are none of them."""
-    named = {c.lower() for c in columns}
-    return [F.col(c) for c in columns] + [F.col(f"`{c}`") for c in df.columns if c.lower() not in named]
+def portions(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``chars`` characters together, one text at least.
+
+    A batch from Spark is bounded in rows. This bounds what is split to words at a time.
+    """
+    first, held = 0, 0
+    for k, text in enumerate(texts):
+        held += len(text or "")
+        if held >= chars:
+            yield first, k + 1
+            first, held = k + 1, 0
+    if first < len(texts):
+        yield first, len(texts)

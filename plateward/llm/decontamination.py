@@ -30,13 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from plateward.llm.common import let, with_columns
+from plateward.llm.common import let, portions, with_columns
 from plateward.llm.fm_index import FMIndex
 from plateward.session import stored
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 8 << 20
+PORTION = 1 << 23
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -260,9 +261,11 @@ def scanned(
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                added = _scan(batch, shared.value or NOTHING)
                 names = ["row", "text", "n_words", "spans", "chars", "items"]
-                yield pa.RecordBatch.from_arrays([batch["row"], batch["text"], *added], names=names)
+                for start, end in portions(batch["text"].to_pylist(), PORTION):
+                    part = batch.slice(start, end - start)
+                    added = _scan(part, shared.value or NOTHING)
+                    yield pa.RecordBatch.from_arrays([part["row"], part["text"], *added], names=names)
 
         rows = rows.mapInArrow(scan, f"row {row_type}, text string, {ADDED}")
     return rows.drop("text")

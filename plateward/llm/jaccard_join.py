@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plateward.llm.common import portions
 from plateward.llm.components import components
 from plateward.session import stored
 
@@ -44,7 +45,8 @@ PERCENT = 85
 ORDERS = 3
 # Of step 2: a quarter of all shingles, by hash.
 QUARTER = np.uint64(1 << 62)
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
+PORTION = 1 << 23
 # Ids of the remaining documents are broadcast up to this number, 16 bytes each; beyond, joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -111,15 +113,17 @@ def shingled(docs: DataFrame, width: int, whole: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            sets = [shingler(t) for t in batch["text"].to_pylist()]
-            kept = sets if whole else [s[s < QUARTER] for s in sets]
-            columns = [
-                batch["id"],
-                pa.array([set_hash(s) for s in sets], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                _lists(kept),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "n", "shingles"])
+            texts = batch["text"].to_pylist()
+            for start, end in portions(texts, PORTION):
+                sets = [shingler(t) for t in texts[start:end]]
+                kept = sets if whole else [s[s < QUARTER] for s in sets]
+                columns = [
+                    batch["id"].slice(start, end - start),
+                    pa.array([set_hash(s) for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    _lists(kept),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "n", "shingles"])
 
     return docs.mapInArrow(run, f"id {kind}, node bigint, n bigint, shingles array<bigint>")
 

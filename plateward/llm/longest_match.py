@@ -25,12 +25,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from plateward.llm.common import portions
+
 SPACE = "▁"
 NOWHERE = -1
 BEGIN, CONTINUE = 0, 1
 # Words up to this length run through the automaton together, longer ones alone.
 TOGETHER = 48
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
+PORTION = 1 << 21
 UNKNOWN = 1 << 40
 
 
@@ -172,20 +175,24 @@ def token_counts(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, known = shared.value, {}
         for batch in batches:
-            # bytes.split() splits at ASCII white space only.
-            rows = [(t or "").encode("utf-8", "surrogatepass").split() for t in batch["text"].to_pylist()]
-            new = set().union(*rows) - known.keys()
-            if len(known) + len(new) > KNOWN_WORDS:
-                known = {}
-                new = set().union(*rows)
-            new = list(new)
-            found = lengths(automaton, [w.decode("utf-8", "surrogatepass") for w in new])
-            known.update(zip(new, found.tolist()))
-            sums = np.array([sum(map(known.__getitem__, row)) for row in rows], np.int64)
+            texts, sizes, sums = batch["text"].to_pylist(), [], []
+            for start, end in portions(texts, PORTION):
+                # bytes.split() splits at ASCII white space only.
+                rows = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[start:end]]
+                new = set().union(*rows) - known.keys()
+                if len(known) + len(new) > KNOWN_WORDS:
+                    known = {}
+                    new = set().union(*rows)
+                new = list(new)
+                found = lengths(automaton, [w.decode("utf-8", "surrogatepass") for w in new])
+                known.update(zip(new, found.tolist()))
+                sizes += map(len, rows)
+                sums += (sum(map(known.__getitem__, row)) for row in rows)
+            sums = np.array(sums, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["id"],
-                    pa.array([len(row) for row in rows], pa.int64()),
+                    pa.array(sizes, pa.int64()),
                     pa.array(sums % UNKNOWN, pa.int64()),
                     pa.array(sums // UNKNOWN, pa.int64()),
                 ],

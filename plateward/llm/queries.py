@@ -93,7 +93,12 @@ def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("turns").alias("chosen"),
         preference_format.replaced_reply(F.col("turns")).alias("rejected"),
     )
-    return preference_format.formatted(pairs)
+    spans = lambda column: F.array_join(
+        F.transform(column, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return preference_format.formatted(pairs).withColumns(
+        {"chosen_spans": spans(F.col("chosen_spans")), "rejected_spans": spans(F.col("rejected_spans"))}
+    )
 
 
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
