@@ -330,8 +330,19 @@ def library_queries() -> dict[str, Query]:
     }
 
 
+def _with_workers(query: Query) -> Query:
+    """The query, with Python workers that can import this repository wherever the session was started."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parent))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return library_queries() | (llm_queries.queries() if llm_queries else {})
+    added = llm_queries.queries() if llm_queries else {}
+    return library_queries() | {name: _with_workers(query) for name, query in added.items()}
 
 
 def oracle_sql() -> dict[str, str]:
