@@ -148,6 +148,8 @@ def runs_of(numbers: np.ndarray, shortest: int, longest: int, most: int) -> Iter
 def occurrences(numbers: np.ndarray, block: Block, most: int = SHARD_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(start, phrase) of every occurrence of the block's phrases in a word stream with 0 as barrier."""
     starts, which = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if not len(block.lengths):
+        return starts[0], which[0]
     longest = int(block.lengths.max())
     for run_starts, run_lengths in runs_of(numbers, block.shortest, longest, max(most, 2 * longest)):
         offsets = np.cumsum(run_lengths + 1) - (run_lengths + 1)

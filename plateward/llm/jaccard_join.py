@@ -77,8 +77,9 @@ class Shingler:
         known = self.known
         if len(known) > KNOWN_WORDS:
             known.clear()
-        for word in set(words) - known.keys():
-            known[word] = xxhash.xxh64_intdigest(word)
+        for word in set(words):
+            if word not in known:
+                known[word] = xxhash.xxh64_intdigest(word)
         hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         if len(words) < self.width:
             # The whole sequence; its length keeps it apart from longer ones.

@@ -179,11 +179,10 @@ def token_counts(
             for start, end in portions(texts, PORTION):
                 # bytes.split() splits at ASCII white space only.
                 rows = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[start:end]]
-                new = set().union(*rows) - known.keys()
+                used = set().union(*rows)
+                new = [word for word in used if word not in known]
                 if len(known) + len(new) > KNOWN_WORDS:
-                    known = {}
-                    new = set().union(*rows)
-                new = list(new)
+                    known, new = {}, list(used)
                 found = lengths(automaton, [w.decode("utf-8", "surrogatepass") for w in new])
                 known.update(zip(new, found.tolist()))
                 sizes += map(len, rows)
