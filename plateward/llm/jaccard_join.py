@@ -86,10 +86,12 @@ class Shingler:
             whole = mixed((hashes * FACTORS[: len(words)]).sum(keepdims=True) + np.uint64(len(words)))
             return whole
         n = len(words) - self.width + 1
-        summed = sum(
-            (mixed(hashes[k : k + n] + FACTORS[k]) * FACTORS[k] for k in range(self.width)), np.zeros(n, np.uint64)
-        )
-        return np.unique(mixed(summed))
+        # Word hashes are uniform; odd factors keep the places apart.
+        summed = hashes[:n] * FACTORS[0]
+        for k in range(1, self.width):
+            summed += hashes[k : k + n] * FACTORS[k]
+        shingles = np.sort(mixed(summed))
+        return shingles[np.concatenate(([True], shingles[1:] != shingles[:-1]))]
 
 
 def set_hash(shingles: np.ndarray) -> int:
