@@ -19,10 +19,11 @@ are scored each. Empty tables give empty results. Only the named columns are rea
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plateward.llm.common import WHITE_SPACE, let, words
@@ -151,13 +152,18 @@ def fit(labelled: DataFrame, to_pooled: float = TO_POOLED, to_identity: float =
 
 
 def scored(described_rows: DataFrame, model: Model) -> DataFrame:
-    """``described`` rows with ``score``."""
-
-    @F.pandas_udf("double")
-    def score(x: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack(x.to_numpy())) if len(x) else [], dtype="float64")
-
-    return described_rows.withColumn("score", score("x"))
+    """``id`` and ``score`` of ``described`` rows."""
+    kind = described_rows.schema["id"].dataType.simpleString()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch["x"].flatten().to_numpy(zero_copy_only=False)
+            scores = model.score(values.reshape(batch.num_rows, -1)) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], pa.array(scores, pa.float64())], names=["id", "score"]
+            )
+
+    return described_rows.select("id", "x").mapInArrow(score, f"id {kind}, score double")
 
 
 def classified(

@@ -11,8 +11,10 @@ multipliers; each step is one aggregation over all documents.
 
 Copies: a document gets the whole part of its rate, and one copy more if its
 hash lies below its fraction. Per source that bound is moved a little so that
-the words taken meet the target, by sums over ``BUCKETS`` ranges of the hash.
-What is left, less than a document or a range, is met by single documents of fitting size.
+the words taken meet the target, by sums over ``BUCKETS`` ranges of the hash:
+to the last bound below the target and the first above, of which the one that ends nearer is used.
+Where more than ``NEAR`` of it is left, less than a document or a range, single
+documents of fitting size get a copy more or less, at most ``CORRECTIONS`` in a source.
 
 All decisions depend on a row's content and its source's parameters, so reruns
 agree and no window or shuffle of documents is needed.
@@ -38,13 +40,17 @@ WEIGHTS = (3.0, 1.0, 2.0)
 BUCKETS = 4096
 STEPS = 40
 TOLERANCE = 1e-9
-CORRECTIONS = 3
+CORRECTIONS = 8
+NEAR = 1e-3
 
 
-def by_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+def by_source(left: DataFrame, right: DataFrame, how: str = "inner", also: Sequence[str] = ()) -> DataFrame:
     """Rows of ``left`` with what ``right`` has on their source, NULL being a source like any other."""
-    named = right.withColumnRenamed("source", "__of")
-    return left.join(named, F.col("source").eqNullSafe(F.col("__of")), how).drop("__of")
+    named = right.withColumnsRenamed({"source": "__of", **{c: f"__{c}" for c in also}})
+    met = F.col("source").eqNullSafe(F.col("__of"))
+    for c in also:
+        met &= F.col(c) == F.col(f"__{c}")
+    return left.join(named, met, how).drop("__of", *(f"__{c}" for c in also))
 
 
 def size_of(text: Column) -> Column:
@@ -162,7 +168,7 @@ def copies(key: Column, tilted: Column, bound: Column, picks: Column) -> Column:
 
 
 def _bounds(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
-    """``sources`` with the ``bound`` whose words taken are nearest to the target."""
+    """Two rows per source, ``side`` 0 and 1: the ``bound`` that stays below the target and the next above."""
     tilted = rate(F.col("prior"), F.col("multiplier"), cap)
     rated = by_source(units, sources).select(
         "source", "target", (F.col("rows") * F.col("size")).alias("words"), "key", tilted.alias("tilted")
@@ -181,38 +187,58 @@ def _bounds(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
     upto_b = summed.select(
         "source", "target", (F.col("whole") + F.col("extra")).alias("taken"), (F.col("bucket") + 1).alias("bound")
     )
-    off = F.abs(F.col("taken") - F.col("target"))
-    best = none.unionByName(upto_b).groupBy("source").agg(F.min_by("bound", F.struct(off, "bound")).alias("bound"))
-    return by_source(sources, best, "left").withColumn("bound", F.coalesce("bound", F.lit(0)))
+    over = F.col("taken") - F.col("target")
+    highest, lowest = F.struct("taken", "bound"), F.struct(-F.col("taken"), -F.col("bound"))
+    sides = none.unionByName(upto_b).groupBy("source").agg(
+        F.max_by("bound", F.when(over <= 0, highest)).alias("below"),
+        F.max_by("bound", F.when(over >= 0, lowest)).alias("above"),
+    )
+    either = sides.select(
+        "source",
+        F.explode(F.array(F.coalesce("below", "above"), F.coalesce("above", "below"))).alias("bound"),
+    )
+    numbered = either.groupBy("source").agg(F.array_sort(F.collect_list("bound")).alias("b"))
+    return by_source(sources, numbered, "left").select(
+        *sources.columns, F.posexplode(F.coalesce("b", F.array(F.lit(0)))).alias("side", "bound")
+    )
 
 
-def _corrected(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
-    """``sources`` with one more pick where a single document brings the words taken closer to the target."""
+def _counted(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
+    """The copies of every unit under both bounds of its source."""
     tilted = rate(F.col("prior"), F.col("multiplier"), cap)
-    counted = by_source(units, sources).select(
+    return by_source(units, sources).select(
         "source",
+        "side",
         "target",
         (F.col("rows") * F.col("size")).alias("words"),
         "key",
         copies(F.col("key"), tilted, F.col("bound"), F.col("picks")).alias("copies"),
         F.exists("picks", lambda p: p["key"] == F.col("key")).alias("picked"),
     )
-    gaps = counted.groupBy("source").agg(
-        (F.max("target") - F.sum(F.col("words") * F.col("copies"))).alias("gap")
-    )
+
+
+def _gaps(counted: DataFrame) -> DataFrame:
+    gap = F.max("target") - F.sum(F.col("words") * F.col("copies"))
+    return counted.groupBy("source", "side").agg(gap.alias("gap"))
+
+
+def _corrected(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
+    """``sources`` with one more pick where they miss the target and a single document brings them closer."""
+    counted = _counted(units, sources, cap)
     change = F.when((F.col("gap") > 0) & (F.col("copies") + 1 <= cap), 1).when(
         (F.col("gap") < 0) & (F.col("copies") >= 1), -1
     )
-    off = F.abs(F.col("gap") - F.col("change") * F.col("words"))
+    # The largest that fits: going past the target would leave nothing to correct with.
+    largest = F.struct("words", "key")
     best = (
-        by_source(counted, gaps)
-        .where(~F.col("picked") & (F.col("words") > 0))
+        by_source(counted, _gaps(counted), also=["side"])
+        .where(~F.col("picked") & (F.col("words") > 0) & (F.abs("gap") > NEAR * F.col("target")))
         .withColumn("change", change)
-        .where(off < F.abs("gap"))
-        .groupBy("source")
-        .agg(F.min_by(F.struct("key", "change"), F.struct(off, "key")).alias("pick"))
+        .where(F.col("change").isNotNull() & (F.col("words") <= F.abs("gap")))
+        .groupBy("source", "side")
+        .agg(F.max_by(F.struct("key", "change"), largest).alias("pick"))
     )
-    return by_source(sources, best, "left").select(
+    return by_source(sources, best, "left", also=["side"]).select(
         *(c for c in sources.columns if c != "picks"),
         F.when(F.col("pick").isNull(), F.col("picks"))
         .otherwise(F.concat("picks", F.array("pick")))
@@ -220,6 +246,13 @@ def _corrected(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
     )
 
 
+def _nearer(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
+    """Of the two bounds of a source the one that ends nearer to the target."""
+    gaps = _gaps(_counted(units, sources, cap))
+    best = gaps.groupBy("source").agg(F.min_by("side", F.struct(F.abs("gap"), "side")).alias("best"))
+    return by_source(sources, best, "left").where(F.col("side") == F.coalesce("best", F.lit(0)))
+
+
 def mixed(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -249,8 +282,14 @@ def mixed(
         _bounds(units, solved, cap).withColumn("picks", F.array().cast("array<struct<key:bigint,change:int>>")),
         "bounds",
     )
+    picked = 0
     for _ in range(CORRECTIONS):
         bounded = stored(_corrected(units, bounded, cap), "picks")
+        now = bounded.agg(F.sum(F.size("picks"))).first()[0]
+        if now == picked:
+            break
+        picked = now
+    bounded = stored(_nearer(units, bounded, cap), "picks")
     chosen = bounded.select(F.struct(*bounded.columns).alias("__mix"))
     given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), *(
         v.alias(f"__{k}") for k, v in own.items()
