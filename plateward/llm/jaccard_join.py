@@ -14,7 +14,7 @@ So a bucket of near copies isn't expanded to pairs:
    This is counted on a fixed quarter of all shingles, chosen by hash, and
    removes most classes.
 3. For the others, exact frequencies give the prefixes. In each bucket, of all
-   that share a prefix shingle, members are first verified against one pivot.
+   that share a prefix shingle, members are first verified against a pivot, in two rounds.
 4. After that, only pairs of a bucket that are still in different components
    are listed, filtered and verified, all of them. No link between components
    can be missed.
@@ -43,6 +43,8 @@ from plateward.session import stored
 WIDTH = 4
 PERCENT = 85
 ORDERS = 3
+# Rounds against pivots, and pairs of a class in each. They only decide how much is left to list.
+ROUNDS, PIVOTS = 2, 8
 # Of step 2: a quarter of all shingles, by hash.
 QUARTER = np.uint64(1 << 62)
 KNOWN_WORDS = 200_000
@@ -145,6 +147,11 @@ def index_prefix(n: Column, percent: int) -> Column:
     return n - _ceil(n * (2 * percent), 100 + percent) + 1
 
 
+def needed(n_a: Column, n_b: Column, percent: int) -> Column:
+    """How many shingles two sets of these sizes must share at least."""
+    return _ceil((n_a + n_b) * percent, 100 + percent)
+
+
 def remaining(sets: DataFrame, percent: int) -> DataFrame:
     """The classes, ``node``, ``n`` and an ``id``, that can have a partner, by their unshared shingles."""
     classes = sets.where("n > 0").groupBy("node", "n").agg(F.min("id").alias("id"))
@@ -171,7 +178,7 @@ def whole_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, percent: int, orders: int) -> DataFrame:
-    """``node``, ``n``, ``indexed`` and the prefixes ``p1``, ``p2``... without unshared shingles.
+    """``node``, ``n``, ``unshared``, ``indexed`` and the prefixes ``p1``, ``p2``... without unshared shingles.
 
     Unshared shingles come first in every order, so they use up places of the
     prefix but can't be met. ``indexed`` is how many of ``p1`` belong to the
@@ -187,6 +194,7 @@ def prefixes(sets: DataFrame, percent: int, orders: int) -> DataFrame:
     unshared = F.col("n") - F.size("shared")
     lists = lists.withColumns(
         {
+            "unshared": unshared.cast("bigint"),
             "probed": probe_prefix(F.col("n"), percent) - unshared,
             "indexed": F.greatest(index_prefix(F.col("n"), percent) - unshared, F.lit(0)),
         }
@@ -201,48 +209,58 @@ def prefixes(sets: DataFrame, percent: int, orders: int) -> DataFrame:
         return F.transform(first, lambda s: s["shingle"])
 
     return lists.select(
-        "node", "n", "indexed", *(prefix(k).alias(f"p{k}") for k in range(1, orders + 1))
+        "node", "n", "unshared", "indexed", *(prefix(k).alias(f"p{k}") for k in range(1, orders + 1))
     )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, filters: DataFrame, percent: int, orders: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose prefixes meet under the other orders and that are similar."""
+    """The pairs (``a``, ``b``) whose prefixes meet under the other orders and that are similar.
+
+    With both sizes known the prefixes are as short as this pair allows.
+    """
     other = [f"p{k}" for k in range(2, orders + 1)]
 
     def side(name: str) -> DataFrame:
-        return filters.select(
-            F.col("node").alias(name), F.col("n").alias(f"n_{name}"), *(F.col(p).alias(f"{p}_{name}") for p in other)
-        )
+        renamed = {c: f"{c}_{name}" for c in ("n", "unshared", *other)}
+        return filters.select(F.col("node").alias(name), *(F.col(c).alias(r) for c, r in renamed.items()))
 
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     met = met.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+
+    def places(name: str) -> Column:
+        """Places of this pair's prefix that unshared shingles leave."""
+        left = F.col(f"n_{name}") - needed(F.col("n_a"), F.col("n_b"), percent) + 1 - F.col(f"unshared_{name}")
+        return F.greatest(left, F.lit(0)).cast("int")
+
     for p in other:
-        met = met.where(F.arrays_overlap(f"{p}_a", f"{p}_b"))
+        prefix = (F.slice(f"{p}_{name}", F.lit(1), places(name)) for name in "ab")
+        met = met.where(F.arrays_overlap(*prefix))
     shingles = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"s_{name}"))
     both = met.select("a", "b", "n_a", "n_b").join(shingles("a"), "a").join(shingles("b"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
     return (
         both.withColumn("common", common)
-        .where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
+        .where(F.col("common") >= needed(F.col("n_a"), F.col("n_b"), percent))
         .select("a", "b")
     )
 
 
 def _pivot_pairs(entries: DataFrame, seed: int) -> DataFrame:
-    """Of each bucket one pivot; of each member two pairs at most: of its smallest and its largest bucket."""
-    order = F.struct(~F.col("index_role"), F.xxhash64(F.lit(seed), "node"))
-    pivots = entries.groupBy("shingle").agg(F.min_by("node", order).alias("pivot"), F.count("*").alias("size"))
-    met = entries.join(pivots, "shingle").where("node <> pivot")
-    chosen = met.groupBy("node").agg(
-        F.min_by("pivot", F.struct("size", "shingle")).alias("x"),
-        F.max_by("pivot", F.struct("size", "shingle")).alias("y"),
+    """Each member of a bucket with the bucket's pivot, chosen by hash; of each node ``PIVOTS`` pairs at most."""
+    chance = F.xxhash64(F.lit(seed), "shingle", "node")
+    pivots = entries.groupBy("shingle").agg(
+        F.min_by(F.struct("node", "component"), F.struct(~F.col("index_role"), chance)).alias("pivot")
     )
-    return chosen.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("x", "y"))).alias("b"))
+    met = entries.join(pivots, "shingle").where("component <> pivot.component")
+    order = F.struct(F.xxhash64(F.lit(seed), "shingle").alias("chance"), F.col("pivot.node").alias("pivot"))
+    chosen = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_set(order)), 1, PIVOTS).alias("of"))
+    return chosen.select(F.col("node").alias("a"), F.explode("of.pivot").alias("b")).distinct()
 
 
 def _open_entries(entries: DataFrame, found: DataFrame) -> DataFrame:
     """Entries with their component, in buckets that hold more than one."""
-    labelled = entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = entries.drop("component").join(found, "node", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     mixed_ = (
         labelled.groupBy("shingle")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -252,15 +270,20 @@ def _open_entries(entries: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket in different components that the sizes and prefix roles admit."""
-    columns = ("node", "n", "component")
+    """All pairs of a bucket in different components whose sizes and places in the order admit a link.
+
+    What a set has before the common shingle can't all be shared, if it is the first that is.
+    """
+    columns = ("node", "n", "place", "component")
     smaller = entries.where("index_role").select("shingle", *(F.col(c).alias(f"{c}_a") for c in columns))
     larger = entries.select("shingle", *(F.col(c).alias(f"{c}_b") for c in columns))
     ordered = F.struct("n_a", "node_a") < F.struct("n_b", "node_b")
     near = 100 * F.col("n_a") >= percent * F.col("n_b")
+    least = needed(F.col("n_a"), F.col("n_b"), percent)
+    early = (F.col("n_a") - F.col("place_a") >= least) & (F.col("n_b") - F.col("place_b") >= least)
     return (
         smaller.join(larger, "shingle")
-        .where((F.col("component_a") != F.col("component_b")) & ordered & near)
+        .where((F.col("component_a") != F.col("component_b")) & ordered & near & early)
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
@@ -272,11 +295,16 @@ def linked(docs: DataFrame, width: int, percent: int, orders: int) -> tuple[Data
     classes = stored(remaining(sets, percent), "remaining")
     whole = stored(whole_sets(docs, classes, width), "sets")
     filters = stored(prefixes(whole, percent, orders), "prefixes")
-    entries = filters.select("node", "n", "indexed", F.posexplode("p1").alias("at", "shingle")).select(
-        "shingle", "node", "n", (F.col("at") < F.col("indexed")).alias("index_role")
+    entries = filters.select("node", "n", "unshared", "indexed", F.posexplode("p1").alias("at", "shingle")).select(
+        "shingle",
+        "node",
+        "n",
+        (F.col("unshared") + F.col("at")).alias("place"),
+        (F.col("at") < F.col("indexed")).alias("index_role"),
+        F.col("node").alias("component"),
     )
     links, found = None, None
-    for seed in (1, 2):
+    for seed in range(ROUNDS):
         open_ = entries if found is None else _open_entries(entries, found)
         new = stored(_verified(_pivot_pairs(open_, seed), whole, filters, percent, orders), "pivot-links")
         links = new if links is None else links.unionByName(new)
