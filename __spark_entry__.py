@@ -7,7 +7,8 @@ from collections.abc import Callable
 from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -22,10 +23,10 @@ from plateward.operators import (  # noqa: E402
     profile,
     quality,
 )
-from plateward.plans import compliance  # noqa: E402
+from plateward.plans import compliance, daily  # noqa: E402
 from plateward.plans.mart import build_mart, in_jurisdiction  # noqa: E402
 from plateward.plans.staging import build_staging  # noqa: E402
-from plateward.session import scratch_path  # noqa: E402
+from plateward.session import scratch_path, stored  # noqa: E402
 from plateward.sources import inspections_csv, tables  # noqa: E402
 from plateward.sources.demo import raw_inspections  # noqa: E402
 from plateward.values import (  # noqa: E402
@@ -45,7 +46,10 @@ except ModuleNotFoundError as missing:
     llm_oracle = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
-DEMO_TREES = 5  # the job default is 300; the registered model queries show the path
+DAILY_LAYERS = daily.Layers("demo_raw", "demo_staging", "demo_marts")
+# Trainings of this process by session and folder: the model queries share one.
+_TRAINED: dict[tuple[str, str], compliance.Compliance] = {}
+_FOLDS: dict[tuple[str, str], DataFrame] = {}
 
 
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,33 +175,155 @@ def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("inspection_id", "label", *FEATURES)
 
 
+def _trained(spark: SparkSession, sf_dir: str) -> compliance.Compliance:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = compliance.train(_mart(spark, sf_dir))
+    return _TRAINED[key]
+
+
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained = compliance.train(_mart(spark, sf_dir), trees=DEMO_TREES)
-    return trained.scored.select("inspection_id", "label", "prediction", "score")
+    return _trained(spark, sf_dir).scored.select("inspection_id", "label", "prediction", "score")
+
+
+def gbt_scores_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each test row: whether its score is a probability and its prediction agrees with it."""
+    score = F.col("score")
+    return gbt_scores(spark, sf_dir).select(
+        "inspection_id",
+        "label",
+        score.between(0, 1).alias("is_probability"),
+        (F.col("prediction") == (score > 0.5).cast("int")).alias("agrees"),
+    )
 
 
 def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.importances(spark, _trained(spark, sf_dir).model)
+
+
+def gbt_importances_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The importances as a whole: their number, signs, sum and order."""
+    rows = gbt_importances(spark, sf_dir).withColumn("place", F.monotonically_increasing_id())
+    largest_first = F.sort_array(F.collect_list("importance"), asc=False)
+    as_given = F.transform(F.array_sort(F.collect_list(F.struct("place", "importance"))), lambda r: r["importance"])
+    return rows.agg(
+        F.count_distinct("feature").alias("features"),
+        (F.min("importance") >= 0).alias("none_negative"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sum_is_one"),
+        (largest_first == as_given).alias("largest_first"),
+    )
+
+
+def _encoded_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = compliance.encoded_set(_mart(spark, sf_dir))
-    train, _ = features.temporal_split(rows)
-    return model.importances(spark, model.fit(features.with_weight(train), DEMO_TREES))
+    return features.temporal_split(rows)[0]
 
 
 def gbt_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FOLDS:
+        _FOLDS[key] = model.cross_validate(_encoded_training(spark, sf_dir))
+    return _FOLDS[key]
+
+
+def cv_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each fold's size, and whether its area and the summary of all are as they must be."""
+    aucs = stored(gbt_cross_validation(spark, sf_dir), "aucs")
+    summary = model.cv_summary(aucs).first()
+    squares = F.avg(F.col("roc_auc") * F.col("roc_auc")).over(Window.partitionBy())
+    mean = F.avg("roc_auc").over(Window.partitionBy())
+    deviation = F.sqrt(F.greatest(squares - mean * mean, F.lit(0.0)))
+    sizes = (
+        features.stratified_folds(_training(spark, sf_dir))
+        .groupBy("fold")
+        .agg(F.count("*").alias("rows"), F.sum("label").alias("positives"))
+    )
+    return sizes.join(aucs, "fold").select(
+        "fold",
+        "rows",
+        "positives",
+        F.col("roc_auc").between(0.5, 1).alias("auc_in_range"),
+        (F.abs(mean - summary["mean_auc"]) < 1e-9).alias("mean_agrees"),
+        (F.abs(deviation - summary["std_auc"]) < 1e-6).alias("std_agrees"),
+    )
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows scored by the model and by the model after it was saved and loaded."""
+    trained, path = _trained(spark, sf_dir), scratch_path(spark, "saved-model")
+    model.save(trained.model, path)
+    given = trained.scored.withColumnRenamed("score", "score_before").drop("prediction")
+    again = model.score(model.load(path), given)
+    return again.agg(
+        F.count("*").alias("rows"), F.count_if(F.col("score") != F.col("score_before")).alias("different")
+    )
+
+
+def features_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twelve features, read back out of the assembled vector."""
     rows, _ = compliance.encoded_set(_mart(spark, sf_dir))
-    train, _ = features.temporal_split(rows)
-    return model.cross_validate(train, trees=2)
+    vector = vector_to_array(model.assemble().transform(rows)["features"])
+    return model.assemble().transform(rows).select(
+        "inspection_id", *(vector[k].alias(name) for k, name in enumerate(FEATURES))
+    )
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> tuple[str, daily.Run]:
+    """A warehouse in which the daily job has run on the demo data as CSV files."""
+    source, warehouse = scratch_path(spark, "csv"), scratch_path(spark, "warehouse")
+    inspections_csv.write_csv(_with_location(raw_inspections(spark, sf_dir)), source)
+    run = daily.run_daily(spark, source, warehouse, layers=DAILY_LAYERS, ingested_at=datetime(2026, 1, 1, 6))
+    return warehouse, run
+
+
+def _with_location(raw: DataFrame) -> DataFrame:
+    """A place with quotes, a comma and a line break, as far as the row has coordinates."""
+    place = F.concat(
+        F.lit('("'), F.col("latitude").cast("string"), F.lit('",\n'), F.col("longitude").cast("string"), F.lit(")")
+    )
+    return raw.withColumn("location", place)
+
+
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the daily job counted and published, and that a spoiled source then publishes nothing."""
+    warehouse, run = _daily(spark, sf_dir)
+    spoiled = scratch_path(spark, "csv")
+    raw = _with_location(raw_inspections(spark, sf_dir))
+    inspections_csv.write_csv(raw.unionByName(raw.where(F.col("results") == "Not Ready")), spoiled)
+    try:
+        daily.run_daily(spark, spoiled, warehouse, layers=DAILY_LAYERS)
+        stopped = False
+    except daily.DataTestsFailed:
+        stopped = True
+    published = daily.current(spark, warehouse)
+    tests = spark.read.parquet(published.tests_path).agg(F.count_if("passed").alias("tests_passed"))
+    rows = spark.read.parquet(published.mart_path).agg(F.count("*").alias("mart_rows"))
+    numbered = lambda df: df.withColumn("one", F.lit(1))
+    return numbered(tests).join(numbered(rows), "one").select(
+        F.lit(run.loaded).cast("bigint").alias("loaded"),
+        F.lit(run.rejected).cast("bigint").alias("rejected"),
+        "tests_passed",
+        "mart_rows",
+        F.lit(stopped).alias("spoiled_stopped"),
+        F.lit(published == run).alias("first_still_published"),
+    )
+
+
+def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging layer of a warehouse, as another process reads it."""
+    warehouse, _ = _daily(spark, sf_dir)
+    return daily.current_staging(spark, warehouse)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw inspections written as CSV files and read back."""
     path = scratch_path(spark, "csv")
-    raw = raw_inspections(spark, sf_dir).withColumn("location", F.lit(None).cast("string"))
-    inspections_csv.write_csv(raw, path)
+    inspections_csv.write_csv(_with_location(raw_inspections(spark, sf_dir)), path)
     records = inspections_csv.read_inspections(spark, path, ingested_at=datetime(2026, 1, 1, 6))
     return inspections_csv.accepted(records)
 
 
-def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dirty_csv(spark: SparkSession, sf_dir: str) -> str:
     """Raw inspections written without quotes, some with a bare comma or a worded id."""
     path = scratch_path(spark, "csv-bad")
     result = F.col("results")
@@ -212,13 +338,29 @@ def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     dirty.select(*inspections_csv.RAW_COLUMNS).write.options(header=True, quote="").csv(path)
-    records = inspections_csv.read_inspections(spark, path)
+    return path
+
+
+def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = inspections_csv.read_inspections(spark, _dirty_csv(spark, sf_dir))
     reason = F.coalesce("reject_reason", F.lit("none")).alias("reject_reason")
     return records.groupBy(reason).agg(F.count("*").alias("rows"))
 
 
-def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart as a stored table of the marts layer, read by name and by year."""
+def csv_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landing keeps and counts when bad records are to be skipped."""
+    target = scratch_path(spark, "skipped")
+    loaded, rejected = daily.ingest(spark, _dirty_csv(spark, sf_dir), target, on_bad="skip")
+    return daily.landed(spark, target).agg(F.count("*").alias("landed")).select(
+        "landed",
+        F.lit(loaded).cast("bigint").alias("loaded"),
+        F.lit(rejected).cast("bigint").alias("rejected"),
+        F.lit(daily.quarantined(spark, target).count()).cast("bigint").alias("set_aside"),
+    )
+
+
+def _stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart as a stored table of the marts layer, read by name."""
     name = "mart_inspections_" + Path(scratch_path(spark, "t")).name[-12:]
     tables.as_table(
         _mart(spark, sf_dir),
@@ -227,7 +369,11 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         path=scratch_path(spark, "mart"),
         partition_by=["inspection_year"],
     )
-    return tables.table(spark, "marts", name).where(F.col("inspection_year") >= 2015)
+    return tables.table(spark, "marts", name)
+
+
+def table_year_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_mart(spark, sf_dir).where(F.col("inspection_year") >= 2015)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -294,7 +440,7 @@ def library_queries() -> dict[str, Query]:
         "dq_mart_suite": _on(_mart, lambda df: quality.run_suite(df, MART_TESTS)),
         "dq_duplicates_injected": dq_duplicates_injected,
         "column_profile": _on(
-            _staging, lambda df: profile.column_profile(df, df.columns, oracle.DISTINCT_COLUMNS)
+            _staging, lambda df: profile.column_profile(df, df.columns)
         ),
         "domain_violations": domain_violations,
         "name_variants": _on(raw_inspections, lambda df: profile.variants(df, "dba_name")),
@@ -323,10 +469,19 @@ def library_queries() -> dict[str, Query]:
         "classification_report": _on(_predicted, evaluate.classification_report),
         "csv_roundtrip": csv_roundtrip,
         "csv_bad_records": csv_bad_records,
-        "table_roundtrip": table_roundtrip,
+        "csv_skip": csv_skip,
+        "table_roundtrip": _stored_mart,
+        "table_year_scan": table_year_scan,
+        "daily_job": daily_job,
+        "staging_view": staging_view,
+        "features_vector": features_vector,
         "gbt_scores": gbt_scores,
+        "gbt_scores_checked": gbt_scores_checked,
         "gbt_importances": gbt_importances,
+        "gbt_importances_checked": gbt_importances_checked,
+        "model_roundtrip": model_roundtrip,
         "gbt_cross_validation": gbt_cross_validation,
+        "cv_checked": cv_checked,
     }
 
 

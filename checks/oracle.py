@@ -170,11 +170,11 @@ def _suite(source: str, null_columns: list[str], domains: dict[str, tuple], id_c
     return f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(parts)})"
 
 
-def _profile(source: str, columns: list[str], distinct: list[str]) -> str:
+def _profile(source: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls,"
         f" CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100 AS null_pct,"
-        f" {'count(DISTINCT ' + c + ')' if c in distinct else 'CAST(NULL AS BIGINT)'} AS distinct_values"
+        f" count(DISTINCT {c}) AS distinct_values"
         f" FROM {source}"
         for c in columns
     )
@@ -188,7 +188,7 @@ def _variants(column: str) -> str:
     return f"""
 SELECT regexp_replace(upper({column}), '[^A-Z0-9]', '', 'g') AS normal_form,
        count(*) AS spellings, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) - max(n) AS BIGINT) AS affected_rows
-FROM (SELECT {column}, count(*) AS n FROM raw WHERE {column} IS NOT NULL GROUP BY ALL)
+FROM (SELECT {column}, count(*) AS n FROM raw WHERE regexp_matches(upper({column}), '[A-Z0-9]') GROUP BY ALL)
 GROUP BY normal_form HAVING count(*) > 1"""
 
 
@@ -201,9 +201,6 @@ STAGING_COLUMNS = [
     "violation_count", "latitude", "longitude", "ingested_at", "flag_out_of_jurisdiction",
     "flag_fail_without_violations", "flag_invalid_risk", "flag_missing_license",
 ]
-DISTINCT_COLUMNS = [
-    "license_number", "facility_type", "risk_level", "city", "state", "zip", "inspection_type", "results",
-]
 _RESULTS = (
     "Pass", "Fail", "Pass w/ Conditions", "Out of Business", "No Entry", "Not Ready", "Business Not Located",
 )
@@ -275,6 +272,18 @@ SELECT inspection_id, label, CAST(min(fold) AS INTEGER) AS fold
 FROM in_order JOIN ends USING (label) WHERE position < fold_end GROUP BY inspection_id, label"""
 
 
+_ENCODED = (
+    "f.code AS facility_type_enc", "risk_rank", "r.code AS risk_level_enc", "i.code AS inspection_type_enc",
+    "violation_count", "inspection_year", "inspection_month", "inspection_quarter", "license_total_inspections",
+    "license_total_fails", "repeat_fail_flag", "days_since_previous_inspection",
+)
+_FROM_CODES = (
+    " FROM filled JOIN codes f ON f.column_name = 'facility_type_grouped' AND f.value = facility_type_grouped"
+    " JOIN codes r ON r.column_name = 'risk_level' AND r.value = risk_level"
+    " JOIN codes i ON i.column_name = 'inspection_type' AND i.value = inspection_type"
+)
+
+
 def _q(layers: str, body: str) -> str:
     return f"WITH {layers.strip()}\n{body.strip()}"
 
@@ -398,7 +407,7 @@ spoiled AS (
 )""",
             _suite("spoiled", *_STAGING_SUITE),
         ),
-        "column_profile": _q(_STG, _profile("stg", STAGING_COLUMNS, DISTINCT_COLUMNS)),
+        "column_profile": _q(_STG, _profile("stg", STAGING_COLUMNS)),
         "domain_violations": _q(
             _RAW,
             "SELECT 'risk' AS column_name, risk AS value, count(*) AS rows FROM raw"
@@ -452,16 +461,7 @@ spoiled AS (
             "  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) USING (inspection_id)",
         ),
         "label_codes": _q(_FILLED, "SELECT * FROM codes"),
-        "encoded_features": _q(
-            _FILLED,
-            "SELECT inspection_id, label, f.code AS facility_type_enc, risk_rank, r.code AS risk_level_enc,"
-            " i.code AS inspection_type_enc, violation_count, inspection_year, inspection_month,"
-            " inspection_quarter, license_total_inspections, license_total_fails, repeat_fail_flag,"
-            " days_since_previous_inspection FROM filled"
-            " JOIN codes f ON f.column_name = 'facility_type_grouped' AND f.value = facility_type_grouped"
-            " JOIN codes r ON r.column_name = 'risk_level' AND r.value = risk_level"
-            " JOIN codes i ON i.column_name = 'inspection_type' AND i.value = inspection_type",
-        ),
+        "encoded_features": _q(_FILLED, f"SELECT inspection_id, label, {', '.join(_ENCODED)}{_FROM_CODES}"),
         "temporal_split_counts": _q(
             _MODEL,
             "SELECT if(inspection_year > 2023, 'test', 'train') AS part, count(*) AS rows,"
@@ -500,7 +500,9 @@ spoiled AS (
         ),
         "classification_report": _q(_PREDICTED, _REPORT.lstrip()),
         "csv_roundtrip": _q(
-            _RAW, f"SELECT {_RAW_COLUMNS}, CAST(NULL AS VARCHAR) AS location, ingested_at FROM raw"
+            _RAW,
+            f"SELECT {_RAW_COLUMNS}, '(\"' || latitude || '\",' || chr(10) || longitude || ')' AS location,"
+            " ingested_at FROM raw",
         ),
         "csv_bad_records": _q(
             _RAW,
@@ -508,5 +510,46 @@ spoiled AS (
             " WHEN 'Not Ready' THEN 'too many fields' WHEN 'Business Not Located' THEN"
             " 'inspection_id is not a number' END AS reject_reason FROM raw) GROUP BY ALL",
         ),
-        "table_roundtrip": _q(_MART, "SELECT * FROM mart WHERE inspection_year >= 2015"),
+        "csv_skip": _q(
+            _RAW,
+            "SELECT count(*) FILTER (good) AS landed, count(*) FILTER (good) AS loaded,"
+            " count(*) FILTER (NOT good) AS rejected, CAST(0 AS BIGINT) AS set_aside"
+            " FROM (SELECT results NOT IN ('Not Ready', 'Business Not Located') AS good FROM raw)",
+        ),
+        "table_roundtrip": _q(_MART, "SELECT * FROM mart"),
+        "table_year_scan": _q(_MART, "SELECT * FROM mart WHERE inspection_year >= 2015"),
+        "daily_job": _q(
+            _MART,
+            "SELECT (SELECT count(*) FROM raw) AS loaded, CAST(0 AS BIGINT) AS rejected,"
+            " CAST(24 AS BIGINT) AS tests_passed, count(*) AS mart_rows,"
+            " (SELECT count(*) > 0 FROM raw WHERE results = 'Not Ready') AS spoiled_stopped,"
+            " true AS first_still_published FROM mart",
+        ),
+        "staging_view": _q(_STG, "SELECT * FROM stg"),
+        "features_vector": _q(
+            _FILLED,
+            "SELECT inspection_id, "
+            + ", ".join(f"CAST({c.split(' AS ')[0]} AS DOUBLE) AS {c.split(' AS ')[-1]}" for c in _ENCODED)
+            + _FROM_CODES,
+        ),
+        "gbt_scores_checked": _q(
+            _MODEL,
+            "SELECT inspection_id, label, true AS is_probability, true AS agrees"
+            " FROM modelled WHERE inspection_year > 2023 OR inspection_year IS NULL",
+        ),
+        "gbt_importances_checked": "SELECT CAST(12 AS BIGINT) AS features, true AS none_negative,"
+        " true AS sum_is_one, true AS largest_first",
+        "model_roundtrip": _q(
+            _MODEL,
+            "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different"
+            " FROM modelled WHERE inspection_year > 2023 OR inspection_year IS NULL",
+        ),
+        "cv_checked": _q(
+            _MODEL,
+            _FOLDS.lstrip().replace(
+                "SELECT inspection_id, label, CAST(min(fold) AS INTEGER) AS fold\nFROM", ", folded AS (SELECT inspection_id, label, CAST(min(fold) AS INTEGER) AS fold\nFROM"
+            )
+            + ") SELECT fold, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, true AS auc_in_range,"
+            " true AS mean_agrees, true AS std_agrees FROM folded GROUP BY fold",
+        ),
     }

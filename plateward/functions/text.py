@@ -19,8 +19,11 @@ def part_count(text: Column, separator: str = VIOLATION_SEPARATOR) -> Column:
 
 
 def normal_form(text: Column) -> Column:
-    """Upper-case letters and digits only, so spelling variants compare equal."""
-    return F.regexp_replace(F.upper(text), "[^A-Z0-9]", "")
+    """Upper-case letters and digits only, so spelling variants compare equal.
+
+    NULL where nothing is left, as for names in other scripts: they are not variants of each other.
+    """
+    return F.nullif(F.regexp_replace(F.upper(text), "[^A-Z0-9]", ""), F.lit(""))
 
 
 def missing_to_null(text: Column, tokens) -> Column:

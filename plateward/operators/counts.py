@@ -49,7 +49,7 @@ def top_k(df: DataFrame, column: str, k: int) -> DataFrame:
 
 def keep_top_k(df: DataFrame, column: str, k: int) -> DataFrame:
     """Only rows whose value is among the ``k`` most frequent. The list has k rows."""
-    return df.join(F.broadcast(top_k(df, column, k)), column, "left_semi")
+    return df.join(top_k(df, column, k), column, "left_semi")
 
 
 def group_rare(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plateward.functions.inspection import passed
 from plateward.operators.explore import load_mart
-from plateward.operators.running import id_block, running_before
+from plateward.operators.running import running_before
 from plateward.session import stored
 from plateward.values import (
     CV_FOLDS,
@@ -51,9 +51,9 @@ def label_codes(df: DataFrame, columns=tuple(LABEL_COLUMNS)) -> DataFrame:
     values = (
         df.select(F.inline(cells))
         .distinct()
-        .select("*", F.substring("value", 1, 2).alias("prefix"), F.lit(1).cast("bigint").alias("one"))
+        .select("*", F.lit(1).cast("bigint").alias("one"))
     )
-    ranked = running_before(values, ["column_name"], ["prefix", "value"], ["one"])
+    ranked = running_before(stored(values, "label-values"), ["column_name"], ["value"], ["one"])
     return ranked.select("column_name", "value", F.col("one_before").cast("int").alias("code"))
 
 
@@ -117,14 +117,16 @@ def stratified_folds(df: DataFrame, k: int = CV_FOLDS) -> DataFrame:
     rows of a class as the class has positions equal to i modulo k.
     """
     undated = F.lit(2147483647)
-    ordered = df.withColumns(
-        {
-            "day_number": F.coalesce(F.unix_date("inspection_date"), undated),
-            "block": id_block("inspection_id"),
-            "row": F.lit(1).cast("bigint"),
-        }
+    ordered = stored(
+        df.withColumns(
+            {
+                "day_number": F.coalesce(F.unix_date("inspection_date"), undated),
+                "row": F.lit(1).cast("bigint"),
+            }
+        ),
+        "ordered",
     )
-    ranked = running_before(ordered, ["label"], ["day_number", "block", "inspection_id"], ["row"])
+    ranked = running_before(ordered, ["label"], ["day_number", "inspection_id"], ["row"])
     # One row per class: the label has two values.
     by_first = Window.orderBy("first_row").rowsBetween(Window.unboundedPreceding, -1)
     classes = (
@@ -146,5 +148,5 @@ def stratified_folds(df: DataFrame, k: int = CV_FOLDS) -> DataFrame:
     return (
         ranked.join(F.broadcast(classes), "label")
         .withColumn("fold", reduce(lambda a, b: a + b, passed_folds))
-        .drop("day_number", "block", "row", "row_before", "size", "start")
+        .drop("day_number", "row", "row_before", "size", "start")
     )

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plateward.functions.inspection import failed, passed
-from plateward.operators.running import id_block, running_before
+from plateward.operators.running import running_before
+from plateward.session import stored
 
 LICENCE = "license_number"
 NO_DATE = 2147483647  # day number of an undated inspection: sorts after every date
@@ -106,21 +107,25 @@ def license_history_asof(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     measures = ("inspections", "fails", "passes")
     names = {f"{m}_before": f"prior_{m}" for m in measures}
     result = F.col("results")
-    licensed = df.where(F.col(LICENCE).isNotNull()).select(
-        *output,
-        _day_number().alias("day_number"),
-        id_block("inspection_id").alias("block"),
-        F.lit(1).cast("bigint").alias("inspections"),
-        failed(result).cast("bigint").alias("fails"),
-        passed(result).cast("bigint").alias("passes"),
+    # Ranking reads its input more than once, and ``df`` may be a long plan.
+    rows = stored(
+        df.select(
+            *output,
+            _day_number().alias("day_number"),
+            F.lit(1).cast("bigint").alias("inspections"),
+            failed(result).cast("bigint").alias("fails"),
+            passed(result).cast("bigint").alias("passes"),
+        ),
+        "history-rows",
     )
+    licensed = rows.where(F.col(LICENCE).isNotNull())
     earlier = (
-        running_before(licensed, [LICENCE], ["day_number", "block", "inspection_id"], measures)
+        running_before(licensed, [LICENCE], ["day_number", "inspection_id"], measures)
         .withColumnsRenamed(names)
         .select(*output, *names.values())
     )
     none = F.lit(0).cast("bigint")
-    unlicensed = df.where(F.col(LICENCE).isNull()).select(
+    unlicensed = rows.where(F.col(LICENCE).isNull()).select(
         *output, *(none.alias(name) for name in names.values())
     )
     return earlier.unionByName(unlicensed)

@@ -86,7 +86,9 @@ def variants(df: DataFrame, column: str, normaliser=normal_form) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     return (
-        spellings.groupBy(normaliser(F.col("spelling")).alias("normal_form"))
+        spellings.withColumn("normal_form", normaliser(F.col("spelling")))
+        .where(F.col("normal_form").isNotNull())
+        .groupBy("normal_form")
         .agg(
             F.count("*").alias("spellings"),
             F.sum("n").alias("rows"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plateward.operators import evaluate, model as classifier
 from plateward.operators.features import (
@@ -19,6 +21,7 @@ from plateward.operators.features import (
 from plateward.session import scratch_path, stored
 from plateward.values import TREES
 
+POINTER = "trained"
 
 @dataclass(frozen=True)
 class Compliance:
@@ -28,11 +31,12 @@ class Compliance:
 
     @property
     def tables(self) -> dict[str, DataFrame]:
-        """Evaluation tables over the test rows."""
+        """Evaluation tables over the test rows. The scores are counted once."""
         spark = self.scored.sparkSession
+        counts = evaluate.score_counts(self.scored)
         return {
-            "roc_auc": evaluate.roc_auc(self.scored),
-            "roc_curve": evaluate.roc_curve(self.scored),
+            "roc_auc": evaluate.roc_auc(self.scored, counts=counts),
+            "roc_curve": evaluate.roc_curve(self.scored, counts=counts),
             "confusion": evaluate.confusion(self.scored),
             "classification_report": evaluate.classification_report(self.scored),
             "importances": classifier.importances(spark, self.model),
@@ -52,14 +56,36 @@ def encoded_set(mart: DataFrame, codes_path: str | None = None) -> tuple[DataFra
 def train(mart: DataFrame, path: str | None = None, trees: int = TREES) -> Compliance:
     """Fit on the years up to the split and score the later ones.
 
-    Below ``path`` are then the model (``model``), its label codes
-    (``label_codes``) and the scored test rows (``scored``): the evaluation
-    tables all read these rows, so they are computed once.
+    Below ``path`` each training has a folder of its own with the model
+    (``model``), its label codes (``label_codes``) and the scored test rows
+    (``scored``). When all are complete one row is added to ``trained``, which
+    ``current`` follows: a failing training leaves the last good one, with its codes.
     """
-    path = path or scratch_path(mart.sparkSession, "compliance")
-    rows, codes = encoded_set(mart, f"{path}/label_codes")
+    spark = mart.sparkSession
+    path = path or scratch_path(spark, "compliance")
+    folder = f"{path}/run={uuid.uuid4().hex}"
+    rows, codes = encoded_set(mart, f"{folder}/label_codes")
     training, test = temporal_split(rows)
-    model = classifier.fit(with_weight(training), trees)
-    classifier.save(model, f"{path}/model")
-    scored = stored(classifier.score(model, test), "scored", f"{path}/scored")
+    # Trees pass over the rows again and again: encode and weight them once. Sums
+    # of floating-point errors depend on the order of rows, so that is fixed too.
+    arranged = with_weight(training).repartition("inspection_id").sortWithinPartitions("inspection_id")
+    weighted = stored(arranged, "training")
+    model = classifier.fit(weighted, trees)
+    classifier.save(model, f"{folder}/model")
+    scored = stored(classifier.score(model, test), "scored", f"{folder}/scored")
+    row = spark.range(1).select(
+        F.lit(datetime.now(timezone.utc)).alias("trained_at"), F.lit(folder).alias("folder")
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{POINTER}")
     return Compliance(model, codes, scored)
+
+
+def current(spark: SparkSession, path: str) -> Compliance:
+    """The training completed last below ``path``."""
+    trainings = spark.read.schema("trained_at timestamp, folder string").parquet(f"{path}/{POINTER}")
+    folder = trainings.orderBy(F.desc("trained_at")).first().folder
+    return Compliance(
+        classifier.load(f"{folder}/model"),
+        spark.read.parquet(f"{folder}/label_codes"),
+        spark.read.parquet(f"{folder}/scored"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from plateward.operators.quality import run_suite
 from plateward.plans.mart import build_mart
 from plateward.plans.staging import build_staging
-from plateward.session import stored
+from plateward.session import exists, stored
 from plateward.sources.inspections_csv import read_inspections
 from plateward.sources.tables import as_view, namespace, publish, table
 from plateward.values import MART_TESTS, STAGING_TESTS
@@ -44,6 +44,43 @@ class Run:
     rejected: int
 
 
+class RunExists(RuntimeError):
+    """A run of this id has written files already; they may be published."""
+
+
+POINTER = "published"
+POINTER_TYPE = "published_at timestamp, raw_path string, mart_path string, tests_path string, loaded bigint, rejected bigint"
+
+
+def current(spark: SparkSession, warehouse: str) -> Run:
+    """The run published last in a warehouse, from any process.
+
+    Each publication appends one row in one file; a reader sees all of it or none.
+    """
+    if not exists(spark, f"{warehouse}/{POINTER}"):
+        raise LookupError(f"nothing is published in {warehouse}")
+    rows = spark.read.schema(POINTER_TYPE).parquet(f"{warehouse}/{POINTER}")
+    last = rows.orderBy(F.desc("published_at")).drop("published_at").first()
+    return Run(**last.asDict())
+
+
+def current_mart(spark: SparkSession, warehouse: str) -> DataFrame:
+    return spark.read.parquet(current(spark, warehouse).mart_path)
+
+
+def current_staging(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The staging layer of the run published last: computed when read, as a view is."""
+    return build_staging(landed(spark, current(spark, warehouse).raw_path))
+
+
+def publish_run(spark: SparkSession, warehouse: str, run: Run) -> None:
+    values = F.lit(datetime.now(timezone.utc)).alias("published_at"), *(
+        F.lit(value).alias(name) for name, value in vars(run).items()
+    )
+    row = spark.range(1).select(*values)
+    row.coalesce(1).write.mode("append").parquet(f"{warehouse}/{POINTER}")
+
+
 def ingest(
     spark: SparkSession,
     source: str,
@@ -106,14 +143,19 @@ def run_daily(
 ) -> Run:
     """CSV files to published raw, staging and mart tables.
 
-    Each run writes to folders of its own. The published names move to them
-    only after all data tests passed on the new files, so a failing run leaves
-    readers with the last good one.
+    Each run writes to folders of its own; a ``run_id`` that has any is refused.
+    After all data tests passed on the new files one row is added to the
+    warehouse's list of publications, which readers in any process follow: see
+    ``current``. A failing run leaves them with the last good one. Names in the
+    session's catalog are then set as well, where a lasting catalog is configured.
     """
     run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     raw_path, mart_path, tests_path = (
         f"{warehouse}/{part}/run={run_id}" for part in ("raw", "mart", "tests")
     )
+    for path in (raw_path, mart_path, tests_path):
+        if exists(spark, path):
+            raise RunExists(f"run {run_id} has written {path}")
     loaded, bad = ingest(spark, source, raw_path, on_bad, ingested_at)
 
     staging = build_staging(landed(spark, raw_path))
@@ -125,6 +167,8 @@ def run_daily(
     )
     tests.coalesce(1).write.mode("overwrite").parquet(tests_path)
     check(spark.read.parquet(tests_path))
+    run = Run(raw_path, mart_path, tests_path, loaded, bad)
+    publish_run(spark, warehouse, run)
 
     raw_layer, staging_layer, mart_layer = (
         namespace(layer, default_layer) for layer in (layers.raw, layers.staging, layers.marts)
@@ -133,7 +177,7 @@ def run_daily(
     publish(spark, mart_layer, "mart_inspections", mart_path)
     publish(spark, staging_layer, "data_tests", tests_path)
     as_view(staging_table(spark, raw_layer), "stg_inspections")
-    return Run(raw_path, mart_path, tests_path, loaded, bad)
+    return run
 
 
 def staging_table(spark: SparkSession, raw_layer: str = Layers.raw) -> DataFrame:

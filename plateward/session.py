@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,28 +49,48 @@ def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession
     return builder.getOrCreate()
 
 
+# Where the intermediate tables of the running job go, if it owns a folder.
+_JOB_FOLDER: ContextVar[str | None] = ContextVar("job folder", default=None)
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session without that setting gets a folder of its own; a
-    cluster must name one that all its executors can reach.
+    All executors must reach it, as they reach the warehouse.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="plateward-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for one written table below the checkpoint folder."""
-    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path for one written table: in the running job's folder, else below the checkpoint folder."""
+    folder = _JOB_FOLDER.get() or checkpoint_folder(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+@contextmanager
+def job_tables(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the intermediate tables written inside, removed at the end.
+
+    Results that are still to be read must be written elsewhere before.
+    """
+    folder = f"{checkpoint_folder(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    token = _JOB_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _JOB_FOLDER.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def by_folder(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from plateward.functions.text import missing_to_null
 from plateward.values import MISSING_TOKENS, RAW_COLUMNS, RAW_TYPES
 
 # Quotes inside a quoted field are doubled, and a quoted field may span lines.
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 MALFORMED = "_malformed"
 
 
@@ -41,12 +41,43 @@ def _load_time(given: datetime | None) -> Column:
     return F.to_timestamp_ntz(F.lit(given.isoformat(sep=" ")))
 
 
+def check_headers(spark: SparkSession, path: str | Sequence[str], width: int = len(RAW_COLUMNS)) -> None:
+    """Raise if a file's header has another number of fields, naming up to twenty such files.
+
+    Columns are named by position, so a file of another width would load shifted.
+    Most files repeat one header, which a comparison shows; only files without
+    it are looked at again.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    beginnings = lines.where("start = 0")
+    first = beginnings.select("value").head()
+    if first is None:
+        return
+    usual = F.col("value") == F.lit(first.value)
+    fits = field_count(F.lit(first.value)) == width
+    others = (
+        beginnings.groupBy("file").agg(F.max(usual).alias("usual")).where(~(F.col("usual") & fits)).select("file")
+    )
+    headers = beginnings.join(others, "file").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = field_count(F.col("header"))
+    wrong = headers.where(found != width).select("file", found.alias("fields")).orderBy("file").limit(20).collect()
+    if wrong:
+        named = ", ".join(f"{row.file} ({row.fields})" for row in wrong)
+        raise ValueError(f"expected {width} columns, found another number in: {named}")
+
+
 def read_inspections(
     spark: SparkSession,
     path: str | Sequence[str],
     tokens: Sequence[str] = MISSING_TOKENS,
     ingested_at: datetime | None = None,
     keep_short_rows: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All records of the files: the 17 columns, ``ingested_at``, and for a bad
     record ``reject_reason`` and ``record``.
@@ -55,17 +86,20 @@ def read_inspections(
     other text. Records with too few fields are filled up with NULL, unless
     ``keep_short_rows`` is off. Every column is read as text first, so that a
     missing-value text in a number column is NULL and not an error.
+
+    A file whose fields may hold line breaks can't be split and is read by one
+    task. With ``multi_line`` off, for files without any, large files are split.
     """
-    rename_positional(spark.read.options(**CSV_OPTIONS).csv(path))  # reads the header only
+    check_headers(spark, path)
     fields = [T.StructField(name, T.StringType()) for name in (*RAW_COLUMNS, MALFORMED)]
     texts = (
-        spark.read.options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
+        spark.read.options(
+            **CSV_OPTIONS, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED
+        )
         .schema(T.StructType(fields))
         .csv(path)
     )
-    cores = spark.sparkContext.defaultParallelism
-    if texts.rdd.getNumPartitions() < cores:  # few files: one task each reads, all cores do the rest
-        texts = texts.repartition(cores, "inspection_id", "dba_name")
+    texts = texts.hint("rebalance")  # files are few or uneven: spread the rows before they are encoded
     present = {c: missing_to_null(F.col(c), tokens) for c in RAW_COLUMNS}
     typed = {c: present[c].try_cast(kind) for c, kind in RAW_TYPES.items()}
 

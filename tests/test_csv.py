@@ -91,7 +91,7 @@ def test_counting_reasons_needs_no_other_column(spark, tmp_path):
 @pytest.mark.parametrize("width", [16, 18])
 def test_another_width_is_an_error(spark, tmp_path, width):
     header = ",".join(f"c{i}" for i in range(width))
-    with pytest.raises(ValueError, match=f"found {width}"):
+    with pytest.raises(ValueError, match=f"\\({width}\\)"):
         read(spark, write(tmp_path, record(), header=header))
 
 
@@ -112,3 +112,23 @@ def test_field_count(spark):
     texts = {"a,b": 2, '"a,b",c': 2, '"a"",""b",c,': 3, "": 1, '"x\n,y"': 1}
     df = spark.createDataFrame(list(texts.items()), "t string, n int")
     assert all(r.n == r.found for r in df.select("n", source.field_count(F.col("t")).alias("found")).collect())
+
+
+def test_files_of_another_width_are_named(spark, tmp_path):
+    fields = HEADER.split(",")
+    (tmp_path / "a.csv").write_text("\n".join([HEADER, record("1"), record("2")]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join([",".join(fields[:-1]), record("3")]) + "\n")
+    (tmp_path / "c.csv").write_text("\n".join([HEADER + ",More", record("4")]) + "\n")
+    for keep in (True, False):
+        with pytest.raises(ValueError) as raised:
+            source.read_inspections(spark, str(tmp_path), keep_short_rows=keep)
+        assert "b.csv" in str(raised.value) and "c.csv" in str(raised.value) and "a.csv" not in str(raised.value)
+
+
+def test_other_names_of_the_right_number_are_accepted(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join([HEADER, record("1")]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join([HEADER.upper() + "X", record("2")]) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    for multi_line in (True, False):
+        records = source.read_inspections(spark, str(tmp_path), multi_line=multi_line)
+        assert sorted(r.inspection_id for r in source.accepted(records).collect()) == [1, 2]

@@ -1,10 +1,14 @@
 """The daily job end to end: load, build, test, publish."""
 
+import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import ROOT
 from plateward.__main__ import main
 from plateward.plans import daily
 from plateward.plans.exploration import explore_tables
@@ -89,13 +93,47 @@ def test_failing_tests_leave_the_published_tables(spark, published):
 
 def test_a_new_run_replaces_the_old_one(spark, tmp_path):
     layers = daily.Layers("again_raw", "again_staging", "again_marts")
-    for run_id, numbers in (("a", "12"), ("b", "345"), ("b", "345")):
+    for run_id, numbers in (("a", "12"), ("b", "345")):
         source = lines(tmp_path / "csv", *(record(n) for n in numbers))
         daily.run_daily(spark, source, str(tmp_path / "store"), run_id, layers=layers)
         found = tables.table(spark, "again_marts", "mart_inspections").select("inspection_id").collect()
         assert sorted(str(r.inspection_id) for r in found) == list(numbers)
 
 
+def test_a_run_id_is_used_once(spark, tmp_path):
+    layers = daily.Layers("once_raw", "once_staging", "once_marts")
+    source, store = lines(tmp_path / "csv", record("1")), str(tmp_path / "store")
+    run = daily.run_daily(spark, source, store, "a", layers=layers)
+    with pytest.raises(daily.RunExists):
+        daily.run_daily(spark, source, store, "a", layers=layers)
+    assert daily.current(spark, store) == run and daily.current_mart(spark, store).count() == 1
+
+
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(LookupError):
+        daily.current(spark, str(tmp_path / "none"))
+
+
+def test_another_process_reads_what_was_published(spark, published):
+    """A second process, with a catalog of its own, follows the warehouse's list of publications."""
+    run, _, folder = published
+    store = str(folder / "store")
+    assert daily.current(spark, store) == run
+    assert daily.current_staging(spark, store).count() == run.loaded
+    command = [sys.executable, "-m", "plateward", "explore", "--warehouse", store]
+    environment = os.environ | {"PYTHONPATH": str(ROOT), "PYSPARK_SUBMIT_ARGS": f"--conf spark.sql.warehouse.dir={folder}/w2 --conf spark.ui.enabled=false pyspark-shell"}
+    found = subprocess.run(command, env=environment, cwd=folder, capture_output=True, text=True, timeout=240)
+    assert found.returncode == 0, found.stderr[-2000:]
+    assert "yearly_trend" in found.stdout and "violations_by_risk" in found.stdout
+
+
+def test_printed_tables_are_whole(spark, capsys):
+    from plateward.__main__ import _print
+
+    _print({"numbers": spark.range(45)})
+    assert capsys.readouterr().out.split()[2:] == [str(i) for i in range(45)]
+
+
 def test_bad_records(spark, tmp_path):
     source = lines(tmp_path / "csv", record("1"), record("x"), record("3", place="a,b"))
     target = str(tmp_path / "raw")

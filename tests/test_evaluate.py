@@ -9,7 +9,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from plateward.operators import counts, evaluate, explore, features
-from plateward.operators.running import BLOCK_IDS
 
 
 def scored(spark, pairs):
@@ -97,7 +96,7 @@ def unshuffled_folds(labels, k):
 def test_folds(spark, size, k):
     pick = random.Random(size)
     rows = [
-        (i * (BLOCK_IDS // 7), dt.date(2020, 1, 1) + dt.timedelta(days=0 if i % 3 else i), int(pick.random() < 0.7))
+        (i * 2**30, dt.date(2020, 1, 1) + dt.timedelta(days=0 if i % 3 else i), int(pick.random() < 0.7))
         for i in range(size)
     ]
     df = spark.createDataFrame(rows, "inspection_id bigint, inspection_date date, label int").repartition(5)
@@ -142,3 +141,23 @@ def test_median_interpolates_and_rounding_is_half_even(spark):
     assert [(r.risk_level, r.avg_violations, r.median_violations, r.total) for r in result] == [("HIGH", 4.0, 3.0, 4)]
     half = spark.createDataFrame([(0.125,), (0.375,)], "x double")
     assert [r.x for r in explore.rounded(half, "x").collect()] == [0.12, 0.38]
+
+
+def test_codes_of_many_values_with_one_prefix(spark):
+    values = [f"RARE TYPE {i * 7919 % 10_000:05d}" for i in range(10_000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame([(v,) for v in values], "f string")
+        found = {r.value: r.code for r in features.label_codes(df, ["f"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == {v: k for k, v in enumerate(sorted(values))}
+
+
+def test_curve_without_points_inside_straight_runs(spark):
+    rows = [(0.9, 1), (0.8, 1), (0.7, 1), (0.6, 0), (0.5, 0), (0.4, 1), (0.4, 0), (0.3, 1), (0.2, 0), (0.1, 0)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    kept = evaluate.roc_curve(df, drop_intermediate=True).collect()
+    whole = evaluate.roc_curve(df).collect()
+    assert sorted(r.threshold for r in kept) == [0.1, 0.3, 0.4, 0.5, 0.7, float("inf")]
+    assert set(kept) < set(whole)

@@ -33,7 +33,7 @@ def test_part_count(spark, texts):
 @FEW
 @given(TEXTS)
 def test_normal_form(spark, texts):
-    assert results(spark, texts, normal_form) == [re.sub("[^A-Z0-9]", "", t.upper()) for t in texts]
+    assert results(spark, texts, normal_form) == [re.sub("[^A-Z0-9]", "", t.upper()) or None for t in texts]
 
 
 @FEW
@@ -84,7 +84,7 @@ def test_point_in_time_mart(spark):
     rows = [dict(inspection_date=f"01/0{d}/2020", results="Fail") for d in (1, 2, 3)] + [dict(license_number=None)]
     mart = build_mart(staged(spark, rows))
     then = history.point_in_time(mart)
-    assert then.columns == mart.columns and then.schema == mart.schema
+    assert then.dtypes == mart.dtypes
     assert column(mart, "license_total_fails") == [3, 3, 3, 0]
     assert column(then, "license_total_fails") == [0, 1, 2, 0]
     assert column(then, "repeat_fail_flag") == [False, False, True, False]

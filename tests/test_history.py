@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plateward.operators import history
-from plateward.operators.running import BLOCK_IDS, id_block, running_before
+from plateward.operators.running import running_before
 
 SCHEMA = "inspection_id bigint, license_number string, inspection_date date, results string"
 PASSES = ("Pass", "Pass w/ Conditions")
@@ -18,8 +18,8 @@ def _cases(n=1500, seed=5):
     pick = random.Random(seed)
     rows = []
     for i in range(n):
-        # Ids lie in several blocks, and not in date order.
-        number = (i * 7919) % n * (BLOCK_IDS // 100)
+        # Ids are sparse, and not in date order.
+        number = (i * 7919) % n * 2**30
         hot = i % 3 == 0
         licence = "hot" if hot else pick.choice([None, *map(str, range(40))])
         day = dt.date(2020, 1, 1) + dt.timedelta(days=0 if hot and i % 2 else pick.randrange(60))
@@ -113,14 +113,7 @@ def test_no_window_holds_a_whole_licence(spark):
         for line in (x for x in plan.splitlines() if "Window [" in x):
             spec = line.split("windowspecdefinition(")[1]
             if "inspection_id" in spec:
-                assert "day_number" in spec and "block" in spec
-
-
-def test_id_block_keeps_order(spark):
-    ids = [-BLOCK_IDS - 1, -1, 0, BLOCK_IDS - 1, BLOCK_IDS, 2**62]
-    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    blocks = [r.b for r in df.select("id", id_block("id").alias("b")).orderBy("id").collect()]
-    assert blocks == sorted(blocks) and blocks[2:5] == [0, 0, 1]
+                assert "__part" in spec.split("ASC")[0]
 
 
 def test_rows_without_id_or_date_are_kept(spark):
@@ -135,3 +128,41 @@ def test_running_before_with_one_level(spark):
     df = spark.createDataFrame([("a", 2, 10), ("a", 1, 5), ("b", 1, 7)], "k string, o int, v int")
     found = {tuple(r) for r in running_before(df, ["k"], ["o"], ["v"]).collect()}
     assert found == {("a", 1, 5, 0), ("a", 2, 10, 5), ("b", 1, 7, 0)}
+
+
+@pytest.fixture
+def several_parts(spark):
+    """Ranges stay as many as the shuffle partitions, also of few rows."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_running_before_over_several_parts(spark, several_parts):
+    pick = random.Random(9)
+    rows = [("hot" if i % 3 else f"k{i % 7}", pick.choice([None, i * 2**30]), pick.randrange(9)) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, o bigint, v bigint").repartition(5)
+    result = running_before(df, ["k"], ["o"], ["v"]).collect()
+    for key in {r[0] for r in rows}:
+        mine = [r for r in result if r["k"] == key]
+        dated = sorted((r for r in mine if r["o"] is not None), key=lambda r: r["o"])
+        undated = sorted((r for r in mine if r["o"] is None), key=lambda r: (r["v_before"], r["v"]))
+        before = 0
+        for r in [*undated, *dated]:  # NULL sorts first
+            assert r["v_before"] == before
+            before += r["v"]
+    # A third of all rows in one key, spread over several parts.
+    ranges = [path for path in running_before(df, ["k"], ["o"], ["v"]).inputFiles()]
+    parts = spark.read.parquet(*ranges).where("k = 'hot'").groupBy("__part").count().collect()
+    assert len(parts) >= 3 and max(r["count"] for r in parts) < 400
+
+
+def test_history_over_several_parts(spark, several_parts):
+    rows = _cases(600)
+    expected = {}
+    for group in _by_licence(rows).values():
+        for k, row in enumerate(group):
+            expected[row[0]] = (k, sum(r[3] == "Fail" for r in group[:k]))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    found = history.license_history_asof(df).where("license_number IS NOT NULL").collect()
+    assert {r.inspection_id: (r.prior_inspections, r.prior_fails) for r in found} == expected

@@ -71,12 +71,29 @@ def test_finds_the_signal(spark, trained):
 
 def test_stored_model_scores_the_same(spark, mart, trained):
     result, path = trained
-    codes = spark.read.parquet(f"{path}/label_codes")
-    rows = features.encode(features.impute(features.modelling_set(mart)), codes)
+    kept = compliance.current(spark, path)
+    rows = features.encode(features.impute(features.modelling_set(mart)), kept.codes)
     _, test = features.temporal_split(rows)
-    again = model.score(model.load(f"{path}/model"), test)
+    again = model.score(kept.model, test)
     first = {r.inspection_id: r.score for r in result.scored.collect()}
     assert {r.inspection_id: r.score for r in again.collect()} == first
+    assert {r.inspection_id: r.score for r in kept.scored.collect()} == first
+
+
+def test_a_failed_training_leaves_the_last_model_and_its_codes(spark, mart, trained, monkeypatch):
+    result, path = trained
+    before = {tuple(r) for r in result.codes.collect()}
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(compliance.classifier, "fit", fails)
+    other = mart.withColumn("facility_type_grouped", F.lit("BAKERY"))
+    with pytest.raises(RuntimeError):
+        compliance.train(other, path, trees=2)
+    kept = compliance.current(spark, path)
+    assert {tuple(r) for r in kept.codes.select(*result.codes.columns).collect()} == before
+    assert kept.scored.count() == result.scored.count()
 
 
 def test_same_seed_same_model(mart, trained):
