@@ -262,7 +262,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def features_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twelve features, read back out of the assembled vector."""
     rows, _ = compliance.encoded_set(_mart(spark, sf_dir))
-    vector = vector_to_array(model.assemble().transform(rows)["features"])
+    vector = vector_to_array("features")
     return model.assemble().transform(rows).select(
         "inspection_id", *(vector[k].alias(name) for k, name in enumerate(FEATURES))
     )
