@@ -7,7 +7,8 @@ of that host. Several times on one page counts once.
 How many lines a host can lose is bounded: each takes a share ``RATIO`` of the
 pages, so there are at most (distinct lines of a mean page) / ``RATIO``. So each
 host's boilerplate is one short array of hashes, and pages meet it in one join
-by host, which moves each page once and which Spark splits where a host is hot.
+by host, which moves each page once. Pages of a host are dealt to ``SALTS``
+partitions, each with a copy of the array, so a hot host isn't one task.
 
 Defined results: a page without a host belongs to no site and keeps all lines.
 NULL or empty HTML has no lines and gives an empty text. Repeated rows count as
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 RATIO = 0.3
 MIN_PAGES = 3
+SALTS = 32
 
 # What separates lines in HTML, what is no text, and how a host is written.
 NO_TEXT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -88,8 +90,10 @@ def without_boilerplate(
     found = boilerplate(lined, ratio, min_pages)
     none = F.array().cast("array<bigint>")
     kept = F.filter("lines", lambda line: ~F.array_contains("boilerplate", F.xxhash64(line)))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = lined.withColumn("salt", F.pmod(F.xxhash64("id", "lines"), F.lit(SALTS)).cast("int"))
     return (
-        lined.join(found, "host", "left")
+        salted.join(found.select("*", salts), ["host", "salt"], "left")
         .withColumn("boilerplate", F.coalesce("boilerplate", none))
         .withColumn("kept", kept)
         .select(
