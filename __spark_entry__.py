@@ -40,7 +40,7 @@ from plateward.values import (  # noqa: E402
 # The training-data operators may be absent; then their queries are too.
 try:
     from plateward.llm import oracle as llm_oracle, queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("plateward.llm", "corpus_pipeline"):
         raise
     llm_oracle = llm_queries = None

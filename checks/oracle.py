@@ -29,6 +29,7 @@ raw AS (
     if(k % 41 = 0, NULL, CAST(u AS VARCHAR)) AS license_number,
     CASE WHEN k % 37 = 0 THEN NULL
          WHEN k % 500 = 3 THEN concat('rare type ', (k - 3) // 500)
+         WHEN k % 53 = 7 THEN concat('kind ', k % 6)
          ELSE concat(' ', lower(c_mktsegment), ' ') END AS facility_type,
     CASE priority WHEN '1' THEN 'Risk 1 (High)' WHEN '2' THEN 'Risk 2 (Medium)'
                   WHEN '3' THEN 'Risk 3 (Low)' WHEN '4' THEN 'All' END AS risk,

@@ -31,6 +31,7 @@ def raw_inspections(spark: SparkSession, folder: str) -> DataFrame:
     facility = (
         F.when(k % 37 == 0, F.lit(None).cast("string"))
         .when(k % 500 == 3, F.concat(F.lit("rare type "), F.expr("(o_orderkey - 3) div 500").cast("string")))
+        .when(k % 53 == 7, F.concat(F.lit("kind "), (k % 6).cast("string")))
         .otherwise(F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")))
     )
     risk = (
