@@ -31,7 +31,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plateward.llm.common import WORD, with_columns
+from plateward.llm.common import WORD
 from plateward.session import stored
 
 CAP = 2
