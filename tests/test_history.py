@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from plateward.operators import history
 from plateward.operators.running import running_before

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from plateward.operators import evaluate, features, model
+from plateward.operators import features, model
 from plateward.plans import compliance
 from plateward.values import FEATURES, MODEL_COLUMNS
 
