@@ -33,7 +33,7 @@ FOLDS = 5
 HELD_OUT = 0
 THRESHOLD = 0.3
 # Shrinkage of a class covariance: towards the pooled one, then towards the identity.
-TO_POOLED = 0.1
+TO_POOLED = 0.5
 TO_IDENTITY = 0.02
 # Densities differ by at most so much before they become a score.
 MOST = 700.0
