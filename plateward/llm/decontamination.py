@@ -37,7 +37,7 @@ from plateward.session import stored
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 8 << 20
-PORTION = 1 << 23
+PORTION = 1 << 22
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

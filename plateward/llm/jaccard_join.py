@@ -48,7 +48,7 @@ ROUNDS, PIVOTS = 2, 8
 # Of step 2: a quarter of all shingles, by hash.
 QUARTER = np.uint64(1 << 62)
 KNOWN_WORDS = 200_000
-PORTION = 1 << 23
+PORTION = 1 << 22
 # Ids of the remaining documents are broadcast up to this number, 16 bytes each; beyond, joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
