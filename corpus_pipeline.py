@@ -9,6 +9,8 @@ from plateward.llm.common import table
 from plateward.session import stored
 
 SHARDS = 24
+# Near copies share at least 80 % of their runs of five words.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the least id."""
-    return jaccard_join.one_per_group(docs)
+    return jaccard_join.one_per_group(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

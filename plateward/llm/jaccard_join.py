@@ -53,9 +53,14 @@ PORTION = 1 << 22
 BROADCAST_IDS = 2_000_000
 
 CAPITALS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+# One odd factor for each place in a shingle.
 FACTORS = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64
-)
+    [
+        0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
+        0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
+    ],
+    np.uint64,
+)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -79,3 +79,11 @@ def test_sharding(results):
     for r in rows:
         places.setdefault(r["shard"], []).append(r["slot"])
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_near_duplicates_by_five_words_and_80_percent(spark):
+    base = [f"w{k}" for k in range(100)]
+    # Two single words changed: 86 of 106 five-word shingles shared, 89 of 105 four-word ones (0.848).
+    near = [*base[:30], "x", *base[31:60], "y", *base[61:]]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near))], "doc_id bigint, text string")
+    assert ids(corpus_pipeline.near_duplicates(spark, docs, FOLDER)) == {1}
