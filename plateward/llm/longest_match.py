@@ -8,7 +8,10 @@ the length of its greedy longest-match split without building any piece.
 The automaton is arrays. All new words of a batch run through it together, one
 letter at a time; counts of words seen before are kept in a bounded table.
 
-A word that the vocabulary cannot spell counts as one unknown piece. Words are
+A vocabulary may have the bare begin piece, the empty name among those that begin
+a word: words that no other piece begins start with it. It may have byte pieces: a
+letter that no piece begins then counts as the bytes of its UTF-8 form. A word
+that the vocabulary still cannot spell counts as one unknown piece. Words are
 split at ASCII white space; letters are taken as they are.
 
 Defined results: NULL and empty texts have no words and no pieces. Words of any
@@ -37,22 +40,35 @@ PORTION = 1 << 21
 UNKNOWN = 1 << 40
 
 
-def read_vocabulary(path: str) -> tuple[list[str], list[str]]:
-    """Pieces that begin a word and pieces that continue one, of a sentence-piece model file."""
+def _model(path: str):
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def read_vocabulary(path: str) -> tuple[list[str], list[str]]:
+    """Pieces that begin a word and pieces that continue one, of a sentence-piece model file.
+
+    A piece with the begin mark also continues words whose text holds that mark itself.
+    """
+    model = _model(path)
     begin, inside = [], []
     for k in range(model.get_piece_size()):
         piece = model.id_to_piece(k)
         if model.is_control(k) or model.is_unknown(k) or model.is_byte(k):
             continue
-        name, to = (piece[1:], begin) if piece.startswith(SPACE) else (piece, inside)
-        if name and SPACE not in name:
-            to.append(name)
+        if piece.startswith(SPACE):
+            begin.append(piece[1:])
+        inside.append(piece)
     return begin, inside
 
 
+def has_bytes(path: str) -> bool:
+    """Whether a sentence-piece model file has a piece for every byte."""
+    model = _model(path)
+    return sum(model.is_byte(k) for k in range(model.get_piece_size())) == 256
+
+
 class Automaton(NamedTuple):
     """Transitions as sorted keys ``node * letters + letter``, failure links and their pops."""
 
@@ -61,12 +77,17 @@ class Automaton(NamedTuple):
     targets: np.ndarray
     fail: np.ndarray
     pops: np.ndarray
+    byte_pieces: bool
+
+
+def n_bytes(letter: str) -> int:
+    return len(letter.encode("utf-8", "surrogatepass"))
 
 
-def build(begin: Iterable[str], inside: Iterable[str]) -> Automaton:
+def build(begin: Iterable[str], inside: Iterable[str], byte_pieces: bool = False) -> Automaton:
     """The automaton of a vocabulary; its size is that of the vocabulary's letters."""
     children: list[dict[str, int]] = [{}, {}]
-    piece = [False, False]
+    piece = [0, 0]  # how many pieces a node stands for, 0 if it is none
     for root, names in ((BEGIN, begin), (CONTINUE, inside)):
         for name in names:
             node = root
@@ -74,10 +95,17 @@ def build(begin: Iterable[str], inside: Iterable[str]) -> Automaton:
                 if letter not in children[node]:
                     children[node][letter] = len(children)
                     children.append({})
-                    piece.append(False)
+                    piece.append(0)
                 node = children[node][letter]
-            piece[node] = True
+            if name or root == BEGIN:
+                piece[node] = 1
+    if byte_pieces:
+        piece[BEGIN] = piece[BEGIN] or n_bytes(SPACE)
+        for letter, node in children[CONTINUE].items():
+            piece[node] = piece[node] or n_bytes(letter)
     fail, pops = [NOWHERE] * len(children), [0] * len(children)
+    if piece[BEGIN]:
+        fail[BEGIN], pops[BEGIN] = CONTINUE, piece[BEGIN]
     level = [BEGIN, CONTINUE]
     while level:
         below = []
@@ -85,7 +113,7 @@ def build(begin: Iterable[str], inside: Iterable[str]) -> Automaton:
             for letter, node in children[parent].items():
                 below.append(node)
                 if piece[node]:
-                    fail[node], pops[node] = CONTINUE, 1
+                    fail[node], pops[node] = CONTINUE, piece[node]
                     continue
                 at, popped = fail[parent], pops[parent]
                 while at != NOWHERE and letter not in children[at]:
@@ -93,6 +121,8 @@ def build(begin: Iterable[str], inside: Iterable[str]) -> Automaton:
                     at = fail[at]
                 if at != NOWHERE:
                     fail[node], pops[node] = children[at][letter], popped
+                elif byte_pieces:
+                    fail[node], pops[node] = CONTINUE, popped + n_bytes(letter)
         level = below
     alphabet = sorted({letter for edges in children for letter in edges})
     index = {letter: k for k, letter in enumerate(alphabet)}
@@ -107,6 +137,7 @@ def build(begin: Iterable[str], inside: Iterable[str]) -> Automaton:
         np.array([target for _, target in edges], np.int64),
         np.array(fail, np.int64),
         np.array(pops, np.int64),
+        byte_pieces,
     )
 
 
@@ -127,6 +158,8 @@ def lengths(a: Automaton, words: list[str]) -> np.ndarray:
     """Pieces of each word; ``UNKNOWN + 1`` for a word that cannot be spelled."""
     counts = np.zeros(len(words), np.int64)
     if not len(a.keys):
+        if a.byte_pieces:
+            return np.array([a.pops[BEGIN] + n_bytes(w) for w in words], np.int64)
         return counts + UNKNOWN + 1
     sizes = np.array([len(w) for w in words], np.int64)
     order = np.argsort(-sizes, kind="stable")
@@ -140,6 +173,7 @@ def lengths(a: Automaton, words: list[str]) -> np.ndarray:
         text = "".join(words[k].ljust(longest, "\0") for k in group)
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         letters = _letters(a, points.astype(np.int64)).reshape(len(group), longest)
+        points = points.reshape(len(group), longest)
         width = sizes[group]
         node, count = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
         for k in range(longest):
@@ -152,7 +186,12 @@ def lengths(a: Automaton, words: list[str]) -> np.ndarray:
                 here = here[stuck]
                 count[here] += a.pops[node[here]]
                 node[here] = a.fail[node[here]]
-                here = here[node[here] != NOWHERE]
+                lost = node[here] == NOWHERE
+                if a.byte_pieces:
+                    spelled = points[here[lost], k]
+                    count[here[lost]] += 1 + (spelled >= 0x80) + (spelled >= 0x800) + (spelled >= 0x10000)
+                    node[here[lost]] = CONTINUE
+                here = here[~lost]
         open_ = np.flatnonzero((node != NOWHERE) & (node != CONTINUE))
         while len(open_):
             count[open_] += a.pops[node[open_]]
@@ -168,9 +207,10 @@ def token_counts(
     inside: list[str],
     id_column: str = "doc_id",
     text_column: str = "text",
+    byte_pieces: bool = False,
 ) -> DataFrame:
     """Per document: id, ``n_words``, ``n_tokens`` and ``n_unknown``, the words that count as one unknown piece."""
-    shared = docs.sparkSession.sparkContext.broadcast(build(begin, inside))  # as large as the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(build(begin, inside, byte_pieces))  # as large as the vocabulary
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, known = shared.value, {}

@@ -82,7 +82,8 @@ def op7_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     begin, inside = longest_match.read_vocabulary(VOCABULARY)
-    return longest_match.token_counts(table(spark, sf_dir, "documents"), begin, inside)
+    byte_pieces = longest_match.has_bytes(VOCABULARY)
+    return longest_match.token_counts(table(spark, sf_dir, "documents"), begin, inside, byte_pieces=byte_pieces)
 
 
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:

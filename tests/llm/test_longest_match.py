@@ -56,3 +56,48 @@ def test_awkward(spark, awkward, nothing):
     assert m.token_counts(long_word, begin, inside).first()["n_tokens"] == 100_001
     assert m.token_counts(nothing, begin, inside).count() == 0
     assert m.token_counts(awkward, [], []).where("n_tokens <> n_words OR n_unknown <> n_words").count() == 0
+
+
+def raw_greedy(word, pieces):
+    """Number of pieces of the marked word by trying every length; a letter without piece is its bytes."""
+    text, at, count = m.SPACE + word, 0, 0
+    while at < len(text):
+        end = next((e for e in range(min(len(text), at + 40), at, -1) if text[at:e] in pieces), None)
+        at, count = (end, count + 1) if end else (at + 1, count + m.n_bytes(text[at]))
+    return count
+
+
+def raw_pieces():
+    model = m._model(VOCABULARY)
+    known = (k for k in range(model.get_piece_size()) if not (model.is_control(k) or model.is_unknown(k)))
+    return {model.id_to_piece(k) for k in known if not model.is_byte(k)}
+
+
+def test_query_spells_every_word_by_the_raw_pieces(spark):
+    pieces = raw_pieces()
+    text = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    for r in queries()["op8_longest_match"](spark, FOLDER).collect():
+        assert r["n_unknown"] == 0
+        assert r["n_tokens"] == sum(raw_greedy(w, pieces) for w in WORD.findall(text[r["doc_id"]]))
+
+
+def test_scripts_without_pieces():
+    pieces, (begin, inside) = raw_pieces(), m.read_vocabulary(VOCABULARY)
+    words = ["漢字", "ሰላም" * 30, "😀x😀", "\u2581", "a\u2581b\u2581\u2581c", "<0x41>", "\U00012000", "ก็" * 5, "\ud800"]
+    found = m.lengths(m.build(begin, inside, m.has_bytes(VOCABULARY)), words)
+    assert found.tolist() == [raw_greedy(w, pieces) for w in words]
+
+
+def test_random_vocabularies_with_bare_and_byte_pieces():
+    rng = random.Random(3)
+    for _ in range(300):
+        some = lambda: "".join(rng.choice("abé") for _ in range(rng.randint(1, 4)))
+        begin = {some() for _ in range(rng.randint(0, 5))} | {""}
+        inside = {some() for _ in range(rng.randint(1, 6))}
+        pieces = inside | {m.SPACE + name for name in begin}
+        words = ["".join(rng.choice("aabbéd漢") for _ in range(rng.choice([1, 2, 5, 9, 60]))) for _ in range(20)]
+        assert m.lengths(m.build(begin, inside, True), words).tolist() == [raw_greedy(w, pieces) for w in words]
+        for word, count in zip(words, m.lengths(m.build(begin, inside), words)):
+            want = greedy(word, begin, inside) or greedy("_" + word, {"_"}, inside)
+            if word[0] not in {name[:1] for name in begin}:
+                assert count == (m.UNKNOWN + 1 if want is None else want)
