@@ -2,9 +2,10 @@
 
 A scan of each text gives spans of three base kinds and, besides, random-looking
 tokens. Every found value is a candidate. Candidates are counted over the whole
-corpus by distinct repositories and owners: what many share is an example that
-was copied around; what looks random and belongs to few is probably live. The
-random-looking tokens of that second sort become spans of a fourth kind.
+corpus by distinct repositories and owners: what many owners share is an example
+that was copied around; what looks random and belongs to few owners is probably
+live, in however many repositories of theirs. The random-looking tokens of that
+second sort become spans of a fourth kind.
 
 Values are compared by 64-bit hash and never leave the scan in clear.
 
@@ -38,9 +39,8 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 ASSIGN_LENGTH = 8
 PLACEHOLDER = re.compile(r"(?ai:example|sample|dummy|changeme|placeholder|your|test|xxxx|1234567|abcdef)")
 
-# Owned: at most so many owners and repositories hold the value.
+# Owned: at most so many owners hold the value.
 MAX_OWNERS = 2
-MAX_REPOSITORIES = 3
 MIN_ENTROPY = 3.0
 
 FOUND = pa.struct(
@@ -133,7 +133,7 @@ def ownership(scans: DataFrame) -> DataFrame:
             F.max("random").alias("random"),
         )
     )
-    few = (F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)
+    few = F.col("owners") <= MAX_OWNERS
     verdict = F.when(~few, "copied").when(F.col("random"), "live").otherwise("weak")
     return held.withColumn("verdict", verdict)
 

@@ -62,3 +62,10 @@ def test_awkward(awkward, nothing):
     rows = s.secrets(awkward).collect()
     assert len(rows) == awkward.count() and {r["spans"] for r in rows} == {""}
     assert s.secrets(nothing).count() == 0
+
+
+def test_value_of_one_owner_is_live_in_many_documents(spark):
+    owned = "Kq7Lw3Xv9Zn2Bm5Jt8Rf1Hg"
+    rows = [(k, f"doc {k} {owned} end", "me") for k in range(10)]
+    found = s.secrets(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()
+    assert {(r["spans"], r["n_live"], r["n_copied"]) for r in found} == {(f"owned:6:{6 + len(owned)}", 1, 0)}
