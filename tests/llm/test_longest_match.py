@@ -8,15 +8,20 @@ FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def greedy(word, begin, inside):
-    """Number of pieces by trying every length, or None."""
+def greedy(word, begin, inside, byte_pieces=False):
+    """Number of pieces by trying every length, or None. A word that no begin piece fits starts with the bare one."""
     at = count = 0
+    start = True
     while at < len(word):
-        pieces = inside if at else begin
+        pieces = begin if start else inside
         end = next((e for e in range(min(len(word), at + 40), at, -1) if word[at:e] in pieces), None)
-        if end is None:
+        if end is None and start and "" in begin:
+            end = at
+        elif end is None and byte_pieces:
+            end, count = at + 1, count + len(word[at].encode()) - 1
+        elif end is None:
             return None
-        at, count = end, count + 1
+        at, count, start = end, count + 1, False
     return count
 
 
@@ -40,7 +45,7 @@ def test_query_equals_brute_force(spark):
     rows = queries()["op8_longest_match"](spark, FOLDER).collect()
     assert len(rows) == len(text)
     for r in rows:
-        counts = [greedy(w, begin, inside) for w in WORD.findall(text[r["doc_id"]])]
+        counts = [greedy(w, begin, inside, True) for w in WORD.findall(text[r["doc_id"]])]
         assert (r["n_words"], r["n_unknown"]) == (len(counts), counts.count(None))
         assert r["n_tokens"] == sum(1 if c is None else c for c in counts)
 
