@@ -177,6 +177,49 @@ FROM texts c JOIN texts r ON c.conv_id = r.conv_id AND c.side = 'c' AND r.side =
 """
 
 
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(LOWERED, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+),
+spots AS (
+  SELECT lang, w, k.k, unnest(range(1, len(w) - k.k + 2)) AS i FROM words, (VALUES (1), (2), (3)) k(k) WHERE len(w) >= k.k
+),
+f AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f FROM spots GROUP BY ALL
+),
+candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, cut.cut, l.f AS l, r.f AS r, (1000000 * c.f * c.f) // (l.f * r.f) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) cut(cut) ON cut.cut < c.k
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : cut.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut.cut + 1 : c.k], ' ')
+),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+dropped AS (
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN candidates t ON s.lang = t.lang AND s.k = 2 AND t.k = 3
+    AND s.phrase IN (array_to_string(t.w[1:2], ' '), array_to_string(t.w[2:3], ' ')) AND 100 * t.f >= 50 * s.f
+),
+totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM lowest ANTI JOIN dropped USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""".replace("LOWERED", _LOWER)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_frequency": _LINES,
@@ -184,4 +227,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_jaccard_join": _SIMILAR,
         "op4_rule_ledger": _LEDGER,
         "op9_preference_format": _PREFERENCES,
+        "op13_son_collocations": _PHRASES,
     }

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from plateward.llm import (
+    collocations,
     decontamination,
     discriminant,
     entropy_mix,
     jaccard_join,
     line_frequency,
     longest_match,
+    periodic_runs,
     preference_format,
     rule_ledger,
     secret_ownership,
@@ -106,6 +108,15 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.searched(table(spark, sf_dir, "documents"), rewrite=periodic_runs.planted)
+    return periodic_runs.digest(found)
+
+
+def op13_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -122,5 +133,7 @@ def queries() -> dict[str, Query]:
         "op8_longest_match": op8_longest_match,
         "op9_preference_format": op9_preference_format,
         "op10_secret_ownership": op10_secret_ownership,
+        "op12_grammar_runs": op12_grammar_runs,
+        "op13_son_collocations": op13_son_collocations,
         "pipeline": pipeline,
     }

@@ -21,4 +21,4 @@ def test_equals_sql(spark, connection, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries() if name.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in queries()
