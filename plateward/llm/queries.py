@@ -19,6 +19,7 @@ from plateward.llm import (
     preference_format,
     rule_ledger,
     secret_ownership,
+    suffix_dedup,
     virtual_slots,
 )
 from plateward.llm.common import table
@@ -108,6 +109,10 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.searched(table(spark, sf_dir, "documents"), rewrite=periodic_runs.planted)
     return periodic_runs.digest(found)
@@ -133,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op8_longest_match": op8_longest_match,
         "op9_preference_format": op9_preference_format,
         "op10_secret_ownership": op10_secret_ownership,
+        "op11_suffix_merge": op11_suffix_merge,
         "op12_grammar_runs": op12_grammar_runs,
         "op13_son_collocations": op13_son_collocations,
         "pipeline": pipeline,
