@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,9 @@ SETTINGS = {
 }
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a job whose largest shuffle moves about ``shuffle_bytes``.
 
@@ -49,6 +53,11 @@ def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession
     return builder.getOrCreate()
 
 
+def python_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the session was started."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parent.parent))
+
+
 # Where the intermediate tables of the running job go, if it owns a folder.
 _JOB_FOLDER: ContextVar[str | None] = ContextVar("job folder", default=None)
 
@@ -77,6 +86,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that runs inside go as soon as it ends, not when the driver collects garbage.
+
+    For queries whose result is written: nothing reads their shuffles again.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 @contextmanager
 def job_tables(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for the intermediate tables written inside, removed at the end.
@@ -103,14 +129,16 @@ def by_folder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def stored(
-    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = (), **options: str
 ) -> DataFrame:
     """The rows written once as a table and read back.
 
     Cuts the lineage: whatever reads the result does not recompute it, also when
-    an executor is lost, and Spark plans with its true size.
+    an executor is lost, and Spark plans with its true size. ``options`` are the writer's.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
-    by_folder(df, partition_by).write.mode("overwrite").parquet(path, partitionBy=list(partition_by))
+    with shuffles_removed(spark):
+        writer = by_folder(df, partition_by).write.mode("overwrite").options(**options)
+        writer.parquet(path, partitionBy=list(partition_by))
     return spark.read.schema(df.schema).parquet(path)
