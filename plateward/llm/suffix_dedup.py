@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 from plateward.llm import hash_filter, suffix_merge
 from plateward.llm.common import portions
 from plateward.llm.jaccard_join import mixed
-from plateward.session import scratch_path
+from plateward.session import stored
 
 LENGTH, GRAM = 400, 64
 PORTION = 1 << 24
@@ -151,14 +151,7 @@ def dealt(docs: DataFrame, length: int) -> DataFrame:
                 portion += 1
 
     rows = docs.where(F.octet_length("text") >= length).mapInArrow(run, f"portion bigint, row int, id {kind}, text binary")
-    return compactly_stored(rows, "portions")
-
-
-def compactly_stored(df: DataFrame, name: str) -> DataFrame:
-    """Like ``stored``, in less space."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(rows, "portions", compression="zstd")
 
 
 def by_portion(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[bytes]]]:
@@ -372,7 +365,7 @@ def without_repeats(
     slices = hash_filter.slices_for(spark, total)
     rows = dealt(given, length)
     passing, hot = repeated_grams(rows, slices, total, length, gram, hot_above)
-    runs = compactly_stored(sorted_runs(rows, slices, length, gram, passing, hot), "runs")
+    runs = stored(sorted_runs(rows, slices, length, gram, passing, hot), "runs", compression="zstd")
     repeats_ = merged_repeats(runs, length, gram).withColumn("role", F.lit(0))
     places = runs.where(F.col("slot") == REPRESENTED).select("portion", "block", F.lit(1).alias("role"))
     marks = repeats_.unionByName(places)
