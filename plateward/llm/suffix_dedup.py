@@ -46,7 +46,7 @@ from plateward.llm.jaccard_join import mixed
 from plateward.session import stored
 
 LENGTH, GRAM = 400, 64
-PORTION = 1 << 24
+PORTION = 1 << 23
 # Windows that are looked at together.
 PIECE = 1 << 19
 # A gram with more places is chosen last; never more than so many grams are.
@@ -54,7 +54,7 @@ HOT, MOST_HOT = 20_000, 1 << 20
 
 BASE = 0x9E3779B97F4A7C15
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-REPRESENTED = -1  # slot of the rows that list which places an entry stands for
+REPEATS, PLACES = 0, 1  # what a block holds for its portion
 
 
 class Anchors(NamedTuple):
@@ -192,7 +192,7 @@ def repeated_grams(rows: DataFrame, slices: int, total: int, length: int, gram:
 
 
 def sorted_runs(rows: DataFrame, slots: int, length: int, gram: int, passing: Broadcast, hot: Broadcast) -> DataFrame:
-    """``slot``, ``portion``, ``block``: a run of suffixes; in slot ``REPRESENTED``, the places of entries with several.
+    """``slot``, ``portion``, ``block``: a run of suffixes; in negative slots, the places of entries with several.
 
     A string of the sort is the suffix of an anchor as far as a string that chose
     it reaches; the bytes to its left go along backwards. The numbers of an entry
@@ -223,7 +223,7 @@ def sorted_runs(rows: DataFrame, slots: int, length: int, gram: int, passing: Br
             values, slot = np.array(about, np.int64).reshape(-1, 3), np.array(slot, np.int64)
             slots_out, blocks = [], []
             if several:
-                slots_out.append(REPRESENTED)
+                slots_out.append(-1 - hash(portion) % slots)
                 blocks.append(np.array(several, "<i8").tobytes())
             for members in _groups(slot):
                 slots_out.append(int(slot[members[0]]))
@@ -298,17 +298,25 @@ def found_repeats(runs: list[suffix_merge.Run], portion: list[int], length: int,
     yield from closed()
 
 
-def merged_repeats(runs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``portion``, ``block`` of rows (row, place, left, right), from the runs of all slots."""
+def marks_of(runs: DataFrame, length: int, gram: int) -> DataFrame:
+    """``portion``, ``role``, ``block``: rows (row, place, left, right) of repeats, from the runs of all slots.
+
+    The lists of places pass through. Stored; the runs are only ever in the shuffle.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [suffix_merge.unpacked(b) for b in table["block"].to_pylist()]
-        rows = np.array(list(found_repeats(parts, table["portion"].to_pylist(), length, gram)), np.int64).reshape(-1, 5)
-        groups = _groups(rows[:, 0])
-        blocks = [np.unique(rows[g, 1:], axis=0).astype("<i8").tobytes() for g in groups]
-        return pa.table({"portion": pa.array([int(rows[g[0], 0]) for g in groups], pa.int64()), "block": pa.array(blocks, pa.binary())})
+        portion, blocks = table["portion"].to_pylist(), table["block"].to_pylist()
+        role = PLACES if table["slot"][0].as_py() < 0 else REPEATS
+        if role == REPEATS:
+            parts = [suffix_merge.unpacked(b) for b in blocks]
+            rows = np.array(list(found_repeats(parts, portion, length, gram)), np.int64).reshape(-1, 5)
+            groups = _groups(rows[:, 0])
+            blocks = [np.unique(rows[g, 1:], axis=0).astype("<i8").tobytes() for g in groups]
+            portion = [int(rows[g[0], 0]) for g in groups]
+        columns = [pa.array(portion, pa.int64()), pa.array([role] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())]
+        return pa.Table.from_arrays(columns, names=["portion", "role", "block"])
 
-    return runs.where(F.col("slot") >= 0).groupBy("slot").applyInArrow(run, "portion bigint, block binary")
+    return stored(runs.groupBy("slot").applyInArrow(run, "portion bigint, role int, block binary"), "marks")
 
 
 def _spans(repeats: np.ndarray, represented: np.ndarray) -> dict[int, list[tuple[int, int]]]:
@@ -337,7 +345,7 @@ def _cut(kind: str) -> tuple[Callable[[pa.Table, pa.Table], pa.Table], str]:
         read = lambda role: np.frombuffer(
             b"".join(b for b, r in zip(marks["block"].to_pylist(), marks["role"].to_pylist()) if r == role), "<i8"
         ).reshape(-1, 4)
-        spans = _spans(read(0), read(1))
+        spans = _spans(read(REPEATS), read(PLACES))
         texts, numbers = rows["text"].to_pylist(), rows["row"].to_pylist()
         kept = []
         for text, row in zip(texts, numbers):
@@ -365,10 +373,7 @@ def without_repeats(
     slices = hash_filter.slices_for(spark, total)
     rows = dealt(given, length)
     passing, hot = repeated_grams(rows, slices, total, length, gram, hot_above)
-    runs = stored(sorted_runs(rows, slices, length, gram, passing, hot), "runs", compression="zstd")
-    repeats_ = merged_repeats(runs, length, gram).withColumn("role", F.lit(0))
-    places = runs.where(F.col("slot") == REPRESENTED).select("portion", "block", F.lit(1).alias("role"))
-    marks = repeats_.unionByName(places)
+    marks = marks_of(sorted_runs(rows, slices, length, gram, passing, hot), length, gram)
     function, schema = _cut(dict(given.dtypes)["id"])
     long = rows.groupBy("portion").cogroup(marks.groupBy("portion")).applyInArrow(function, schema)
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
