@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks import oracle  # noqa: E402
 from plateward.operators import (  # noqa: E402
+    boosting,
     counts,
     evaluate,
     explore,
@@ -46,9 +47,10 @@ except ImportError as missing:
     llm_oracle = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
+BOOSTED_FEATURES = ("violation_count", "inspection_month", "license_total_fails", "days_since_previous_inspection")
 DAILY_LAYERS = daily.Layers("demo_raw", "demo_staging", "demo_marts")
 # Trainings of this process by session and folder: the model queries share one.
-_TRAINED: dict[tuple[str, str], compliance.Compliance] = {}
+_TRAINED: dict[tuple[str, str, str], compliance.Compliance] = {}
 _FOLDS: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -175,10 +177,10 @@ def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("inspection_id", "label", *FEATURES)
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> compliance.Compliance:
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _trained(spark: SparkSession, sf_dir: str, learner: str = compliance.FIRST_ORDER) -> compliance.Compliance:
+    key = (spark.sparkContext.applicationId, sf_dir, learner)
     if key not in _TRAINED:
-        _TRAINED[key] = compliance.train(_mart(spark, sf_dir))
+        _TRAINED[key] = compliance.train(_mart(spark, sf_dir), learner=learner)
     return _TRAINED[key]
 
 
@@ -188,13 +190,7 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gbt_scores_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each test row: whether its score is a probability and its prediction agrees with it."""
-    score = F.col("score")
-    return gbt_scores(spark, sf_dir).select(
-        "inspection_id",
-        "label",
-        score.between(0, 1).alias("is_probability"),
-        (F.col("prediction") == (score > 0.5).cast("int")).alias("agrees"),
-    )
+    return _properties(gbt_scores(spark, sf_dir))
 
 
 def gbt_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +218,7 @@ def _encoded_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gbt_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FOLDS:
-        _FOLDS[key] = model.cross_validate(_encoded_training(spark, sf_dir))
+        _FOLDS[key] = stored(boosting.cross_validate(_encoded_training(spark, sf_dir)), "aucs")
     return _FOLDS[key]
 
 
@@ -259,6 +255,34 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _properties(scored: DataFrame) -> DataFrame:
+    score = F.col("score")
+    return scored.select(
+        "inspection_id",
+        "label",
+        score.between(0, 1).alias("is_probability"),
+        (F.col("prediction") == (score > 0.5).cast("int")).alias("agrees"),
+    )
+
+
+def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows scored by the job's 300 second-order trees."""
+    scored = _trained(spark, sf_dir, compliance.SECOND_ORDER).scored
+    return scored.select("inspection_id", "label", "prediction", "score")
+
+
+def boosted_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosting.importances(spark, _trained(spark, sf_dir, compliance.SECOND_ORDER).model)
+
+
+def boosted_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of two second-order trees of depth 2, on features with and without missing values."""
+    rows = features.with_weight(_training(spark, sf_dir))
+    settings = boosting.Settings(trees=2, depth=2, rate=0.3, bins=16)
+    trained, _ = boosting.train(rows, settings=settings, features=BOOSTED_FEATURES)
+    return trained.nodes(spark).drop("gain", "value")
+
+
 def features_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twelve features, read back out of the assembled vector."""
     rows, _ = compliance.encoded_set(_mart(spark, sf_dir))
@@ -323,6 +347,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspections_csv.accepted(records)
 
 
+def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw inspections in one CSV file, with line breaks in fields, read in splits."""
+    path, raw = scratch_path(spark, "csv-one"), _with_location(raw_inspections(spark, sf_dir))
+    inspections_csv.write_csv(raw.coalesce(1), path)
+    given = datetime(2026, 1, 1, 6)
+    return inspections_csv.accepted(inspections_csv.read_inspections(spark, path, ingested_at=given, split_files=True))
+
+
 def _dirty_csv(spark: SparkSession, sf_dir: str) -> str:
     """Raw inspections written without quotes, some with a bare comma or a worded id."""
     path = scratch_path(spark, "csv-bad")
@@ -468,6 +500,7 @@ def library_queries() -> dict[str, Query]:
         "confusion": _on(_predicted, evaluate.confusion),
         "classification_report": _on(_predicted, evaluate.classification_report),
         "csv_roundtrip": csv_roundtrip,
+        "csv_split": csv_split,
         "csv_bad_records": csv_bad_records,
         "csv_skip": csv_skip,
         "table_roundtrip": _stored_mart,
@@ -480,6 +513,10 @@ def library_queries() -> dict[str, Query]:
         "gbt_importances": gbt_importances,
         "gbt_importances_checked": gbt_importances_checked,
         "model_roundtrip": model_roundtrip,
+        "boosted_scores": boosted_scores,
+        "boosted_scores_checked": lambda spark, sf_dir: _properties(boosted_scores(spark, sf_dir)),
+        "boosted_importances": boosted_importances,
+        "boosted_nodes": boosted_nodes,
         "gbt_cross_validation": gbt_cross_validation,
         "cv_checked": cv_checked,
     }

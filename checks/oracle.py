@@ -285,6 +285,71 @@ _FROM_CODES = (
 )
 
 
+def _boosted(features: list[str], rounds: int, bins: int, rate: float) -> str:
+    """Trees of depth 2 by joins and sums over (row, feature) cells; one block of steps for each level of each tree."""
+    cells = " UNION ALL ".join(
+        f"SELECT inspection_id AS id, {k} AS f, CAST({c} AS DOUBLE) AS v FROM weighted" for k, c in enumerate(features)
+    )
+    steps = [
+        "weighted AS (SELECT *, if(label = 0, CAST(1 AS DOUBLE), CAST(sum(1 - label) OVER () AS DOUBLE)"
+        " / CAST(sum(label) OVER () AS DOUBLE)) AS w FROM modelled WHERE inspection_year <= 2023)",
+        f"cells AS ({cells})",
+        "valued AS (SELECT f, v, count(*) AS n FROM cells WHERE v IS NOT NULL GROUP BY f, v)",
+        "ranked_values AS (SELECT f, v, n, sum(n) OVER (PARTITION BY f ORDER BY v) AS upto,"
+        " sum(n) OVER (PARTITION BY f) AS total, count(*) OVER (PARTITION BY f) AS many FROM valued)",
+        f"cuts AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS b FROM ranked_values"
+        f" WHERE many <= {bins} OR upto * {bins} // total > (upto - n) * {bins} // total)",
+        "binned AS (SELECT id, f, v IS NULL AS lost, (SELECT count(*) FROM cuts c WHERE c.f = x.f AND c.v < x.v) AS b FROM cells x)",
+        "m0 AS (SELECT inspection_id AS id, CAST(0 AS DOUBLE) AS m FROM weighted)",
+    ]
+    for t in range(rounds):
+        steps += [
+            f"g{t} AS (SELECT id, CAST(round_even(w * (p - label) * 1073741824, 0) AS HUGEINT) AS g,"
+            f" CAST(round_even(w * p * (1 - p) * 1073741824, 0) AS HUGEINT) AS h"
+            f" FROM (SELECT id, w, label, 1 / (1 + exp(-m)) AS p FROM m{t} JOIN weighted ON id = inspection_id))",
+            f"at{t}_0 AS (SELECT id, 1 AS node FROM g{t})",
+        ]
+        for level in range(2):
+            here = f"{t}_{level}"
+            steps += [
+                f"sum{here} AS (SELECT node, CAST(sum(g) AS DOUBLE) / 1073741824 AS g, CAST(sum(h) AS DOUBLE) / 1073741824 AS h"
+                f" FROM at{here} JOIN g{t} USING (id) WHERE node >= {1 << level} GROUP BY node)",
+                f"hist{here} AS (SELECT node, f, lost, b, sum(g) AS g, sum(h) AS h"
+                f" FROM at{here} JOIN g{t} USING (id) JOIN binned USING (id) WHERE node >= {1 << level} GROUP BY ALL)",
+                f"left{here} AS (SELECT s.node, c.f, c.b, c.v, side.ml,"
+                f" coalesce(CAST(sum(x.g) AS DOUBLE), 0) / 1073741824 AS gl, coalesce(CAST(sum(x.h) AS DOUBLE), 0) / 1073741824 AS hl,"
+                f" any_value(s.g) AS g, any_value(s.h) AS h"
+                f" FROM sum{here} s JOIN cuts c ON true JOIN (VALUES (true), (false)) side(ml) ON true"
+                f" LEFT JOIN hist{here} x ON x.node = s.node AND x.f = c.f AND if(x.lost, side.ml, x.b <= c.b) GROUP BY ALL)",
+                f"gain{here} AS (SELECT node, f, b, v, ml, (gl * gl) / (hl + 1.0::DOUBLE) + ((g - gl) * (g - gl)) / ((h - hl) + 1.0::DOUBLE)"
+                f" - (g * g) / (h + 1.0::DOUBLE) AS gain FROM left{here} WHERE hl >= 1 AND h - hl >= 1)",
+                f"best{here} AS (SELECT * FROM gain{here} WHERE gain > 1e-6::DOUBLE"
+                f" QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b, ml DESC) = 1)",
+                f"at{t}_{level + 1} AS (SELECT a.id, if(s.node IS NULL, a.node,"
+                f" 2 * a.node + if(if(x.lost, s.ml, x.b <= s.b), 0, 1)) AS node"
+                f" FROM at{here} a LEFT JOIN best{here} s USING (node) LEFT JOIN binned x ON x.id = a.id AND x.f = s.f)",
+            ]
+        steps += [
+            f"leaf{t} AS (SELECT node, -(CAST(sum(g) AS DOUBLE) / 1073741824) / (CAST(sum(h) AS DOUBLE) / 1073741824 + 1.0::DOUBLE)"
+            f" * {rate}::DOUBLE AS value FROM at{t}_2 JOIN g{t} USING (id) GROUP BY node)",
+            f"m{t + 1} AS (SELECT id, m + value AS m FROM m{t} JOIN at{t}_2 USING (id) JOIN leaf{t} USING (node))",
+        ]
+    names = "[" + ", ".join(f"'{c}'" for c in features) + "]"
+    nodes = []
+    for t in range(rounds):
+        # A node's sums are those of the rows below it.
+        for level in range(3):
+            up = 2 - level
+            inside = f"SELECT id, node >> if(node >= 4, {up}, if(node >= 2, {max(up - 1, 0)}, 0)) AS node FROM at{t}_2"
+            best = f"best{t}_{level}" if level < 2 else f"(SELECT * FROM best{t}_0 WHERE false)"
+            nodes.append(
+                f"SELECT {t} AS tree, node, {names}[f + 1] AS feature, v AS cut, ml AS missing_left, gradient, hessian FROM"
+                f" (SELECT node, CAST(sum(g) AS BIGINT) AS gradient, CAST(sum(h) AS BIGINT) AS hessian FROM ({inside})"
+                f" JOIN g{t} USING (id) WHERE node >= {1 << level} AND node < {2 << level} GROUP BY node) LEFT JOIN {best} USING (node)"
+            )
+    return ",\n" + ",\n".join(steps) + "\n" + " UNION ALL ".join(nodes)
+
+
 def _q(layers: str, body: str) -> str:
     return f"WITH {layers.strip()}\n{body.strip()}"
 
@@ -505,6 +570,11 @@ spoiled AS (
             f"SELECT {_RAW_COLUMNS}, '(\"' || latitude || '\",' || chr(10) || longitude || ')' AS location,"
             " ingested_at FROM raw",
         ),
+        "csv_split": _q(
+            _RAW,
+            f"SELECT {_RAW_COLUMNS}, '(\"' || latitude || '\",' || chr(10) || longitude || ')' AS location,"
+            " ingested_at FROM raw",
+        ),
         "csv_bad_records": _q(
             _RAW,
             "SELECT coalesce(reject_reason, 'none') AS reject_reason, count(*) AS rows FROM (SELECT CASE results"
@@ -545,6 +615,16 @@ spoiled AS (
             "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different"
             " FROM modelled WHERE inspection_year > 2023 OR inspection_year IS NULL",
         ),
+        "boosted_scores_checked": _q(
+            _MODEL,
+            "SELECT inspection_id, label, true AS is_probability, true AS agrees"
+            " FROM modelled WHERE inspection_year > 2023 OR inspection_year IS NULL",
+        ),
+        "boosted_nodes": "WITH "
+        + _MODEL.strip()
+        + _boosted(
+            ["violation_count", "inspection_month", "license_total_fails", "days_since_previous_inspection"], 2, 16, 0.3
+        ),
         "cv_checked": _q(
             _MODEL,
             _FOLDS.lstrip().replace(

@@ -21,11 +21,13 @@ def _arguments(args: Sequence[str] | None) -> argparse.Namespace:
         command.add_argument("source", help="CSV files")
         command.add_argument("target", help=target)
         command.add_argument("--on-bad", default="quarantine", choices=["quarantine", "skip", "fail"])
+        command.add_argument("--split-files", action="store_true", help="split large files with line breaks in fields")
     for name in ("explore", "train"):
         command = commands.add_parser(name)
         if name == "train":
             command.add_argument("target", help="folder for the model and scored rows")
             command.add_argument("--trees", type=int, default=TREES)
+            command.add_argument("--learner", default=compliance.SECOND_ORDER, choices=list(compliance.LEARNERS))
         place = command.add_mutually_exclusive_group(required=True)
         place.add_argument("--warehouse", help="warehouse folder; its mart published last is used")
         place.add_argument("--mart", help="table name or folder")
@@ -67,15 +69,17 @@ def _mart(given: argparse.Namespace, spark: SparkSession) -> DataFrame:
 
 def _run(given: argparse.Namespace, spark: SparkSession) -> None:
     if given.command == "ingest":
-        loaded, rejected = daily.ingest(spark, given.source, given.target, given.on_bad)
+        loaded, rejected = daily.ingest(spark, given.source, given.target, given.on_bad, split_files=given.split_files)
         print(f"loaded {loaded}, rejected {rejected}")
     elif given.command == "daily":
-        run = daily.run_daily(spark, given.source, given.target, on_bad=given.on_bad)
+        run = daily.run_daily(
+            spark, given.source, given.target, on_bad=given.on_bad, split_files=given.split_files
+        )
         print(f"loaded {run.loaded}, rejected {run.rejected}, mart in {run.mart_path}")
     elif given.command == "explore":
         _print(explore_tables(_mart(given, spark)))
     else:
-        tables = compliance.train(_mart(given, spark), given.target, given.trees).tables
+        tables = compliance.train(_mart(given, spark), given.target, given.trees, given.learner).tables
         curve = tables.pop("roc_curve")  # as long as there are scores: stored, not printed
         curve.write.mode("overwrite").parquet(f"{given.target}/roc_curve")
         _print(tables)

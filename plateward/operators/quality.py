@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def _as_rows(counts: DataFrame, test: str, columns: Sequence[str]) -> DataFrame:
@@ -74,3 +74,33 @@ def run_suite(df: DataFrame, suite: Mapping) -> DataFrame:
     parts += [unique(df, column) for column in suite["unique"]]
     parts.append(accepted_values(df, suite["accepted_values"]))
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
+
+
+def measured(df: DataFrame, suite: Mapping) -> tuple[DataFrame, Observation]:
+    """The rows unchanged; once they are written, the observation has what most tests of the suite count.
+
+    NULLs of each ``not_null`` column, and cells outside each domain of ``accepted_values``.
+    """
+    metrics = [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in suite["not_null"]]
+    metrics += [
+        F.count_if(~F.col(c).isin(*values)).alias(f"foreign {c}") for c, values in suite["accepted_values"].items()
+    ]
+    observation = Observation("data tests")
+    return df.observe(observation, *metrics), observation
+
+
+def suite_of(table: DataFrame, suite: Mapping, measures: Mapping[str, int]) -> DataFrame:
+    """What ``run_suite`` gives, from the measures of the write that made the table.
+
+    The table is read again for ``unique``, and for the domains that have foreign cells, to
+    count distinct values.
+    """
+    domains = suite["accepted_values"]
+    failing = {c: values for c, values in domains.items() if measures[f"foreign {c}"]}
+    known = [("not_null", c, measures[f"null {c}"]) for c in suite["not_null"]]
+    known += [("accepted_values", c, 0) for c in domains if c not in failing]
+    parts = [table.sparkSession.createDataFrame(known, "test string, column_name string, failures bigint")]
+    parts += [unique(table, column) for column in suite["unique"]]
+    if failing:
+        parts.append(accepted_values(table, failing))
+    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from plateward.operators.quality import run_suite
+from plateward.operators.quality import measured, run_suite, suite_of
 from plateward.plans.mart import build_mart
 from plateward.plans.staging import build_staging
 from plateward.session import exists, stored
@@ -87,18 +87,19 @@ def ingest(
     target: str,
     on_bad: str = "quarantine",
     ingested_at: datetime | None = None,
+    split_files: bool = False,
 ) -> tuple[int, int]:
     """Land CSV files as Parquet below ``target``; returns rows loaded and rejected.
 
-    A CSV file with line breaks inside fields cannot be split, so it is parsed
-    once: good and bad records go to two folders of one write. ``on_bad`` is
-    ``quarantine`` (keep them aside), ``skip`` (drop them) or ``fail``.
+    Records are parsed once: good and bad ones go to two folders of one write. ``on_bad`` is
+    ``quarantine`` (keep them aside), ``skip`` (drop them) or ``fail``. A file whose fields hold
+    line breaks is read by one task, or with ``split_files`` by many: see ``split_records``.
     """
     if on_bad not in ("quarantine", "skip", "fail"):
         raise ValueError(f"unknown on_bad: {on_bad}")
     counted = Observation("records")
     bad = F.col("reject_reason").isNotNull()
-    records = read_inspections(spark, source, ingested_at=ingested_at).observe(
+    records = read_inspections(spark, source, ingested_at=ingested_at, split_files=split_files).observe(
         counted, F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("rejected")
     )
     if on_bad == "skip":
@@ -140,6 +141,7 @@ def run_daily(
     layers: Layers = Layers(),
     default_layer: str = "default",
     ingested_at: datetime | None = None,
+    split_files: bool = False,
 ) -> Run:
     """CSV files to published raw, staging and mart tables.
 
@@ -156,14 +158,16 @@ def run_daily(
     for path in (raw_path, mart_path, tests_path):
         if exists(spark, path):
             raise RunExists(f"run {run_id} has written {path}")
-    loaded, bad = ingest(spark, source, raw_path, on_bad, ingested_at)
+    loaded, bad = ingest(spark, source, raw_path, on_bad, ingested_at, split_files)
 
     staging = build_staging(landed(spark, raw_path))
-    new_mart = stored(build_mart(staging), "mart", mart_path, partition_by=["inspection_year"])
+    rows, measures = measured(build_mart(staging), MART_TESTS)
+    new_mart = stored(rows, "mart", mart_path, partition_by=["inspection_year"])
+    mart_tests = suite_of(new_mart, MART_TESTS, measures.get)
     tests = (
         run_suite(staging, STAGING_TESTS)
         .withColumn("model", F.lit("stg_inspections"))
-        .unionByName(run_suite(new_mart, MART_TESTS).withColumn("model", F.lit("mart_inspections")))
+        .unionByName(mart_tests.withColumn("model", F.lit("mart_inspections")))
     )
     tests.coalesce(1).write.mode("overwrite").parquet(tests_path)
     check(spark.read.parquet(tests_path))

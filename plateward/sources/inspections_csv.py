@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plateward.functions.text import missing_to_null
+from plateward.sources import split_records
 from plateward.values import MISSING_TOKENS, RAW_COLUMNS, RAW_TYPES
 
 # Quotes inside a quoted field are doubled, and a quoted field may span lines.
@@ -45,8 +46,7 @@ def check_headers(spark: SparkSession, path: str | Sequence[str], width: int = l
     """Raise if a file's header has another number of fields, naming up to twenty such files.
 
     Columns are named by position, so a file of another width would load shifted.
-    Most files repeat one header, which a comparison shows; only files without
-    it are looked at again.
+    Only the first line of a file is compared: a header further down is a record.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -54,16 +54,8 @@ def check_headers(spark: SparkSession, path: str | Sequence[str], width: int = l
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("at"),
     )
-    beginnings = lines.where("start = 0")
-    first = beginnings.select("value").head()
-    if first is None:
-        return
-    usual = F.col("value") == F.lit(first.value)
-    fits = field_count(F.lit(first.value)) == width
-    others = (
-        beginnings.groupBy("file").agg(F.max(usual).alias("usual")).where(~(F.col("usual") & fits)).select("file")
-    )
-    headers = beginnings.join(others, "file").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    # A task reads the lines of a file in order, so the least number is the file's first line.
+    headers = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
     found = field_count(F.col("header"))
     wrong = headers.where(found != width).select("file", found.alias("fields")).orderBy("file").limit(20).collect()
     if wrong:
@@ -78,6 +70,7 @@ def read_inspections(
     ingested_at: datetime | None = None,
     keep_short_rows: bool = True,
     multi_line: bool = True,
+    split_files: bool = False,
 ) -> DataFrame:
     """All records of the files: the 17 columns, ``ingested_at``, and for a bad
     record ``reject_reason`` and ``record``.
@@ -89,17 +82,19 @@ def read_inspections(
 
     A file whose fields may hold line breaks can't be split and is read by one
     task. With ``multi_line`` off, for files without any, large files are split.
+    With ``split_files`` they are split all the same, and lines are glued to records
+    by their quotes, which must be doubled inside fields: see ``split_records``.
     """
     check_headers(spark, path)
     fields = [T.StructField(name, T.StringType()) for name in (*RAW_COLUMNS, MALFORMED)]
-    texts = (
-        spark.read.options(
-            **CSV_OPTIONS, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED
-        )
-        .schema(T.StructType(fields))
-        .csv(path)
-    )
-    texts = texts.hint("rebalance")  # files are few or uneven: spread the rows before they are encoded
+    schema, options = T.StructType(fields), {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    if split_files:
+        given = {k: str(v).lower() if isinstance(v, bool) else v for k, v in (options | {"multiLine": True}).items()}
+        parsed = F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), given)
+        texts = split_records.records(spark, path).select(parsed.alias("r")).select("r.*")
+    else:
+        texts = spark.read.options(**options, multiLine=multi_line).schema(schema).csv(path)
+        texts = texts.hint("rebalance")  # files are few or uneven: spread the rows before they are encoded
     present = {c: missing_to_null(F.col(c), tokens) for c in RAW_COLUMNS}
     typed = {c: present[c].try_cast(kind) for c, kind in RAW_TYPES.items()}
 

@@ -132,3 +132,11 @@ def test_other_names_of_the_right_number_are_accepted(spark, tmp_path):
     for multi_line in (True, False):
         records = source.read_inspections(spark, str(tmp_path), multi_line=multi_line)
         assert sorted(r.inspection_id for r in source.accepted(records).collect()) == [1, 2]
+
+
+def test_a_header_further_down_does_not_excuse_the_first_line(spark, tmp_path):
+    write(tmp_path, record(), name="good.csv")
+    narrow = ",".join(f"c{i}" for i in range(16))
+    write(tmp_path, record(), HEADER, record("2"), header=narrow, name="joined.csv")
+    with pytest.raises(ValueError, match=r"joined\.csv \(16\)"):
+        read(spark, str(tmp_path))

@@ -63,3 +63,26 @@ def test_failures_count_values_not_rows(spark):
     assert quality.unique(df, "id").first().failures == 2
     assert quality.accepted_values(df, {"v": ["a"]}).first().failures == 2
     assert quality.not_null(df, "v").first().failures == 1
+
+
+def test_measured_while_written_equals_the_suite(spark, tmp_path):
+    suite = {"unique": ["a"], "not_null": ["a", "b"], "accepted_values": {"b": ("x", "y"), "c": (1, 2)}}
+    clean = [(1, "x", 1), (2, "y", 2), (3, "x", None)]
+    spoiled = [*clean, (3, "z", 1), (None, "w", 1), (4, None, 2), (5, "z", 2)]
+    for k, rows in enumerate((clean, spoiled, [])):
+        df, measures = quality.measured(spark.createDataFrame(rows, "a int, b string, c int").repartition(3), suite)
+        path = str(tmp_path / str(k))
+        df.write.parquet(path)
+        table = spark.read.parquet(path)
+        found = quality.suite_of(table, suite, measures.get)
+        assert found.columns == quality.run_suite(table, suite).columns
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, quality.run_suite(table, suite).collect()))
+
+
+def test_clean_table_is_read_for_unique_only(spark, tmp_path):
+    suite = {"unique": ["a"], "not_null": ["a", "b"], "accepted_values": {"b": ("x", "y")}}
+    df, measures = quality.measured(spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string"), suite)
+    df.write.parquet(str(tmp_path / "t"))
+    plan = quality.suite_of(spark.read.parquet(str(tmp_path / "t")), suite, measures.get)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1 and "ReadSchema: struct<a:int>" in text

@@ -16,7 +16,8 @@ def connection():
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"gbt_scores", "gbt_importances", "gbt_cross_validation"}
+    trained = {"gbt_scores", "gbt_importances", "gbt_cross_validation", "boosted_scores", "boosted_importances"}
+    assert set(QUERIES) - set(SQL) == trained
 
 
 # Five trainings of 300 trees; tests/test_model.py cross-validates with few.
