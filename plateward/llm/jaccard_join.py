@@ -13,7 +13,8 @@ So a bucket of near copies isn't expanded to pairs:
 2. A class with too many shingles that no other class has can have no partner.
    This is counted on a fixed quarter of all shingles, chosen by hash, and
    removes most classes.
-3. For the others, exact frequencies give the prefixes. In each bucket, of all
+3. For the others, whole sets are taken from the texts that a filter of fixed size,
+   over the ids, lets pass. Exact frequencies give the prefixes. In each bucket, of all
    that share a prefix shingle, members are first verified against a pivot, in two rounds.
 4. After that, only pairs of a bucket that are still in different components
    are listed, filtered and verified, all of them. No link between components
@@ -29,16 +30,18 @@ An empty table gives an empty result. Only the id and the text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plateward.llm import hash_filter
 from plateward.llm.common import portions
 from plateward.llm.components import components
-from plateward.session import stored
+from plateward.session import remove, scratch_path, stored
 
 WIDTH = 4
 PERCENT = 85
@@ -49,8 +52,6 @@ ROUNDS, PIVOTS = 2, 8
 QUARTER = np.uint64(1 << 62)
 KNOWN_WORDS = 200_000
 PORTION = 1 << 22
-# Ids of the remaining documents are broadcast up to this number, 16 bytes each; beyond, joined by a shuffle.
-BROADCAST_IDS = 2_000_000
 
 CAPITALS = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # One odd factor for each place in a shingle.
@@ -172,12 +173,29 @@ def remaining(sets: DataFrame, percent: int) -> DataFrame:
     return classes.join(unshared, "node", "left").where(few).select("node", "n", "id")
 
 
+def passing(ids: DataFrame) -> Callable[[Column], Column]:
+    """Whether an id may be among ``ids``: a column function. The filter behind it has a fixed size."""
+    spark = ids.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = hash_filter.narrowed(batch["hash"].to_numpy().view(np.uint64))
+            yield hash_filter.blocks(*hash_filter.counted(hashes), slices)
+
+    slices = hash_filter.slices_for(spark, 0)
+    found, _ = hash_filter.frequent(ids.select(F.xxhash64("id").alias("hash")).mapInArrow(run, hash_filter.BLOCKS), slices, 1)
+    shared = spark.sparkContext.broadcast(found)
+
+    @F.pandas_udf("boolean")
+    def known(hashes: pd.Series) -> pd.Series:
+        return pd.Series(shared.value(hash_filter.narrowed(hashes.to_numpy().view(np.uint64))))
+
+    return lambda column: known(F.xxhash64(column))
+
+
 def whole_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """``node``, ``n`` and all ``shingles``, once per class. ``classes`` is stored."""
-    ids = classes.select(F.col("id").alias("wanted")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    some = docs.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
+    some = docs.where(passing(classes.select("id"))(F.col("id")))
     found = shingled(some, width, whole=True).select("node", "n", "shingles")
     return found.join(classes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -296,8 +314,12 @@ def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
 
 def linked(docs: DataFrame, width: int, percent: int, orders: int) -> tuple[DataFrame, DataFrame]:
     """Every document as ``id``, ``node``, ``n``; and ``node``, ``component`` of classes with links."""
-    sets = stored(shingled(docs, width, whole=False), "shingles")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "shingles")
+    sets = stored(shingled(docs, width, whole=False), "shingles", path)
+    rows = stored(sets.select("id", "node", "n"), "classes")
     classes = stored(remaining(sets, percent), "remaining")
+    remove(spark, path)
     whole = stored(whole_sets(docs, classes, width), "sets")
     filters = stored(prefixes(whole, percent, orders), "prefixes")
     entries = filters.select("node", "n", "unshared", "indexed", F.posexplode("p1").alias("at", "shingle")).select(
@@ -316,7 +338,7 @@ def linked(docs: DataFrame, width: int, percent: int, orders: int) -> tuple[Data
         found = stored(components(links), "components")
     rest = _cross_pairs(_open_entries(entries, found), percent)
     links = links.unionByName(stored(_verified(rest, whole, filters, percent, orders), "cross-links"))
-    return sets.select("id", "node", "n"), components(links)
+    return rows, components(links)
 
 
 def groups(
@@ -365,23 +387,13 @@ def one_per_group(
     least = labelled.groupBy("component").agg(F.min("id").alias("keeper"))
     keeps = F.col("id").eqNullSafe(F.col("keeper")).alias("keeps")
     judged = stored(labelled.join(least, "component").select("id", "rows", keeps), "judged")
-    repeats = F.col("keeps") & (F.col("rows") > 1)
-    dropped, again = judged.where(~F.col("keeps")), judged.where(repeats)
-    counts = judged.agg(
-        F.count_if(~F.col("keeps")).alias("dropped"), F.count_if(repeats).alias("again")
-    ).first()
-
-    def small(keys: DataFrame, count: int) -> DataFrame:
-        named = keys.select(F.col("id").alias("__judged"))
-        return F.broadcast(named) if count <= BROADCAST_IDS else named
-
+    judged = judged.where(~F.col("keeps") | (F.col("rows") > 1))
+    # Only rows that the filter lets pass are joined with the verdicts; all others stay as they are.
     keyed = docs.withColumn("__key", key)
-    if counts["dropped"]:
-        gone = small(dropped, counts["dropped"])
-        keyed = keyed.join(gone, F.col("__key").eqNullSafe(F.col("__judged")), "left_anti")
-    if counts["again"]:
-        several = small(again, counts["again"])
-        met = F.col("__key").eqNullSafe(F.col("__judged"))
-        once = keyed.join(several, met, "left_semi").dropDuplicates(["__key"])
-        keyed = keyed.join(several, met, "left_anti").unionByName(once)
-    return keyed.drop("__key")
+    met = passing(judged.select("id"))(F.col("__key"))
+    named = judged.select(F.col("id").alias("__judged"), F.col("keeps").alias("__keeps"))
+    maybe = keyed.where(met).join(named, F.col("__key").eqNullSafe(F.col("__judged")), "left")
+    # Rows of one id and text are one: the ones that stay are grouped, not the ones that go.
+    once = maybe.where("__keeps").dropDuplicates(["__key"])
+    kept = keyed.where(~met).unionByName(maybe.where("__keeps IS NULL").select(keyed.columns))
+    return kept.unionByName(once.select(keyed.columns)).drop("__key")
