@@ -103,6 +103,12 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def job_tables(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for the intermediate tables written inside, removed at the end.
@@ -115,8 +121,7 @@ def job_tables(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _JOB_FOLDER.reset(token)
-        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, folder)
 
 
 def by_folder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
