@@ -404,6 +404,56 @@ def _stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, "marts", name)
 
 
+def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inspections inside the jurisdiction, bucketed by licence and day."""
+    name = "inspections_by_licence_" + Path(scratch_path(spark, "t")).name[-12:]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layer = tables.namespace("marts", "default")
+    return history.in_layout(_inside(spark, sf_dir), layer, name, buckets, scratch_path(spark, "layout"))
+
+
+def sketched_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the years up to 2019 from stored yearly sketches, its estimates held against exact counts."""
+    mart = _mart(spark, sf_dir)
+    columns = [c for c in mart.columns if c not in ("inspection_year", "ingested_at")]
+    sketches = stored(profile.yearly_sketches(mart, columns), "sketches")
+    estimated = profile.profile_of_years(sketches, last=2019)
+    exact = profile.distinct_profile(mart.where(F.col("inspection_year") <= 2019), columns).withColumnRenamed("distinct_values", "exact")
+    off = F.abs(F.col("distinct_values") - F.coalesce("exact", F.lit(0))) <= 0.05 * F.coalesce("exact", F.lit(0))
+    # One row per profiled column.
+    return estimated.join(F.broadcast(exact), "column_name", "left").select("column_name", "nulls", "null_pct", off.alias("close"))
+
+
+def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All inspections of one licence, read from a table sorted by licence with bloom filters."""
+    name = "inspections_to_look_up_" + Path(scratch_path(spark, "t")).name[-12:]
+    layer, path = tables.namespace("marts", "default"), scratch_path(spark, "lookup")
+    keys = ("license_number", "inspection_id")
+    table = tables.as_table(
+        _inside(spark, sf_dir), layer, name, path, bucket_by=keys[:1], buckets=8, sort_by=keys, bloom_on=keys
+    )
+    return explore.lookup(table, "license_number", "37")
+
+
+def reload_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per result, whether a reload in another order has the same digest, and what one changed group shows."""
+    raw = _staging(spark, sf_dir)
+    before = stored(tables.digests(raw, "results", without=["ingested_at"]), "digests")
+    again = tables.digests(raw.repartition(5, "zip"), "results", without=["ingested_at"])
+    spoiled = raw.withColumn("zip", F.when((F.col("results") != "Fail") | F.col("zip").isNull(), F.col("zip")).otherwise("0"))
+    same = tables.changed_parts(before, again).select(F.col("part").alias("moved"))
+    other = tables.changed_parts(before, tables.digests(spoiled, "results", without=["ingested_at"]))
+    found = before.join(same, F.col("part").eqNullSafe(F.col("moved")), "left").join(
+        other.select(F.col("part").alias("changed")), F.col("part").eqNullSafe(F.col("changed")), "left"
+    )
+    return found.select(
+        F.col("part").alias("results"),
+        "rows",
+        F.col("moved").isNull().alias("same_after_reload"),
+        F.col("changed").isNotNull().alias("changed"),
+    )
+
+
 def table_year_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_mart(spark, sf_dir).where(F.col("inspection_year") >= 2015)
 
@@ -477,10 +527,18 @@ def library_queries() -> dict[str, Query]:
         "domain_violations": domain_violations,
         "name_variants": _on(raw_inspections, lambda df: profile.variants(df, "dba_name")),
         "city_variants": _on(raw_inspections, lambda df: profile.variants(df, "city")),
+        "collated_name_variants": _on(raw_inspections, lambda df: profile.collated_variants(df, "dba_name")),
+        "collated_city_variants": _on(raw_inspections, lambda df: profile.collated_variants(df, "city")),
+        "sketched_profile": sketched_profile,
+        "point_lookup": point_lookup,
+        "reload_digests": reload_digests,
+        "roc_corners": _on(_scored, lambda df: evaluate.roc_curve(df, drop_intermediate=True)),
         "kpis": _on(_mart, profile.kpis),
         "calendar": _on(_mart, profile.calendar),
         "exclusion_audit": _on(_staging, profile.exclusion_audit),
         "license_history_asof": _on(_inside, history.license_history_asof),
+        "bucketed_previous": _on(_layout, history.previous_inspection),
+        "bucketed_history_asof": _on(_layout, history.license_history_asof),
         "modelling_set": _modelled,
         "modelling_set_asof": lambda spark, sf_dir: features.modelling_set(
             history.point_in_time(_mart(spark, sf_dir))

@@ -285,6 +285,24 @@ _FROM_CODES = (
 )
 
 
+_SKETCHED = [
+    "inspection_id", "license_number", "dba_name", "aka_name", "facility_type_grouped", "facility_type_original",
+    "risk_level", "risk_rank", "address", "city", "zip", "latitude", "longitude", "inspection_date", "inspection_month",
+    "inspection_quarter", "inspection_year_month", "inspection_type", "results", "pass_flag", "fail_flag",
+    "violation_count", "violations_raw", "license_total_inspections", "license_total_fails", "license_total_passes",
+    "repeat_fail_flag", "days_since_previous_inspection", "flag_fail_without_violations", "flag_invalid_risk",
+    "flag_missing_license",
+]
+
+
+def _collated(column: str) -> str:
+    return f"""
+SELECT min(form) AS form, count(*) AS spellings, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) - max(n) AS BIGINT) AS affected_rows
+FROM (SELECT upper(regexp_replace({column}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]', '', 'g')) AS form, count(*) AS n
+      FROM raw WHERE {column} IS NOT NULL GROUP BY {column})
+WHERE form <> '' GROUP BY lower(strip_accents(form)) HAVING count(*) > 1"""
+
+
 def _boosted(features: list[str], rounds: int, bins: int, rate: float) -> str:
     """Trees of depth 2 by joins and sums over (row, feature) cells; one block of steps for each level of each tree."""
     cells = " UNION ALL ".join(
@@ -355,6 +373,12 @@ def _q(layers: str, body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _oracle_sql()
+    same = {"bucketed_previous": "previous_inspection", "bucketed_history_asof": "license_history_asof"}
+    return found | {name: found[like] for name, like in same.items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     in_staging = "FROM stg WHERE NOT flag_out_of_jurisdiction"
     return {
         "raw_inspections": _q(_RAW, "SELECT * FROM raw"),
@@ -483,6 +507,29 @@ spoiled AS (
         ),
         "name_variants": _q(_RAW, _variants("dba_name")),
         "city_variants": _q(_RAW, _variants("city")),
+        "collated_name_variants": _q(_RAW, _collated("dba_name")),
+        "collated_city_variants": _q(_RAW, _collated("city")),
+        "sketched_profile": _q(
+            _MART,
+            "SELECT column_name, nulls, null_pct, true AS close FROM ("
+            + _profile("(SELECT * EXCLUDE (inspection_year, ingested_at) FROM mart WHERE inspection_year <= 2019)", _SKETCHED)
+            + ")",
+        ),
+        "point_lookup": _q(_STG, "SELECT * FROM stg WHERE NOT flag_out_of_jurisdiction AND license_number = '37'"),
+        "reload_digests": _q(
+            _STG,
+            "SELECT results, count(*) AS rows, true AS same_after_reload,"
+            " coalesce(results = 'Fail', false) AND count(zip) > 0 AS changed FROM stg GROUP BY results",
+        ),
+        "roc_corners": _q(
+            _SCORED,
+            "SELECT CAST(score AS DOUBLE) AS threshold, CAST(n - neg_below AS DOUBLE) / CAST(n AS DOUBLE) AS fpr,"
+            " CAST(p - pos_below AS DOUBLE) / CAST(p AS DOUBLE) AS tpr FROM (SELECT *,"
+            " lead(if(pos = 0, 'right', if(neg = 0, 'up', NULL))) OVER (ORDER BY score DESC) AS after,"
+            " if(pos = 0, 'right', if(neg = 0, 'up', NULL)) AS kind FROM ranked)"
+            " WHERE kind IS NULL OR after IS NULL OR kind <> after"
+            " UNION ALL SELECT CAST('Infinity' AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)",
+        ),
         "kpis": _q(
             _MART,
             "SELECT count(*) AS inspections, CAST(sum(pass_flag) AS BIGINT) AS passes,"

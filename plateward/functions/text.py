@@ -26,5 +26,10 @@ def normal_form(text: Column) -> Column:
     return F.nullif(F.regexp_replace(F.upper(text), "[^A-Z0-9]", ""), F.lit(""))
 
 
+def letters_only(text: Column) -> Column:
+    """Letters, marks on them, and digits of any script; all else is left out."""
+    return F.regexp_replace(text, "[^\\p{L}\\p{M}\\p{N}]", "")
+
+
 def missing_to_null(text: Column, tokens) -> Column:
     return F.when(~text.isin(*tokens), text)

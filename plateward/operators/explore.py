@@ -115,3 +115,11 @@ def flag_summary(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     """For display: the named columns with two decimals."""
     return df.withColumns({c: for_display(F.col(c)) for c in columns})
+
+
+def lookup(table: DataFrame, column: str, value) -> DataFrame:
+    """The rows that hold one value: a point read.
+
+    On a table stored with ``bloom_on`` this column, or sorted by it, Spark skips the row groups that cannot hold it.
+    """
+    return table.where(F.col(f"`{column}`") == F.lit(value))

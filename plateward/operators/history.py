@@ -3,20 +3,26 @@
 A licence may own a large share of all rows (a placeholder number, say), so no
 window ranges over a licence's inspections. Inspections are first reduced to one
 row per licence and day, which partial aggregation does before the shuffle and
-which the calendar bounds; windows run over those days only.
+which the calendar bounds; windows run over those days, and over the rows of one day.
+
+All of this meets by licence and day. A table written in ``in_layout`` is bucketed by
+them, so that no job that reads it shuffles its wide rows again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plateward.functions.inspection import failed, passed
 from plateward.operators.running import running_before
 from plateward.session import stored
+from plateward.sources.tables import as_table
 
 LICENCE = "license_number"
+# The day of a licensed inspection; rows without a licence are spread by id.
+JOIN_DAY = "join_day"
 NO_DATE = 2147483647  # day number of an undated inspection: sorts after every date
 
 
@@ -24,6 +30,23 @@ def _day_number():
     return F.coalesce(F.unix_date("inspection_date"), F.lit(NO_DATE)).cast("bigint")
 
 
+def with_join_day(df: DataFrame) -> DataFrame:
+    """Add the day by which rows meet, unless the table has it."""
+    if JOIN_DAY in df.columns:
+        return df
+    return df.withColumn(JOIN_DAY, F.when(F.col(LICENCE).isNull(), F.col("inspection_id")).otherwise(_day_number()))
+
+
+def in_layout(df: DataFrame, layer: str, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """The rows as a table bucketed by licence and day and sorted by them, written once for all jobs on histories.
+
+    Take as many buckets as the cluster's shuffle partitions at least; with fewer,
+    Spark shuffles the rows to have that many tasks.
+    """
+    keys = (LICENCE, JOIN_DAY)
+    return as_table(with_join_day(df), layer, name, path, bucket_by=keys, buckets=buckets, sort_by=(*keys, "inspection_id"))
+
+
 def license_history(df: DataFrame) -> DataFrame:
     """Lifetime totals per licence."""
     result = F.col("results")
@@ -42,8 +65,9 @@ def license_days(df: DataFrame) -> DataFrame:
     """One row per licence and day: its totals, first id, and the day before it."""
     result = F.col("results")
     days = (
-        df.where(F.col(LICENCE).isNotNull())
-        .groupBy(LICENCE, _day_number().alias("day_number"))
+        with_join_day(df)
+        .where(F.col(LICENCE).isNotNull())
+        .groupBy(LICENCE, F.col(JOIN_DAY).alias("day_number"))
         .agg(
             F.count("*").alias("inspections"),
             F.count_if(failed(result)).alias("fails"),
@@ -73,10 +97,9 @@ def attach_license_days(df: DataFrame) -> DataFrame:
     that they do not meet in one task either.
     """
     history = license_days(df).withColumnsRenamed({LICENCE: "h_license", "day_number": "h_day"})
-    spread = F.when(F.col(LICENCE).isNull(), F.col("inspection_id")).otherwise(_day_number())
-    joined = df.withColumn("join_day", spread).join(
+    joined = with_join_day(df).join(
         history,
-        (F.col(LICENCE) == F.col("h_license")) & (F.col("join_day") == F.col("h_day")),
+        (F.col(LICENCE) == F.col("h_license")) & (F.col(JOIN_DAY) == F.col("h_day")),
         "left",
     )
     first_of_day = F.col("inspection_id").eqNullSafe(F.col("first_id"))
@@ -84,7 +107,7 @@ def attach_license_days(df: DataFrame) -> DataFrame:
         F.when(F.col(LICENCE).isNotNull(), F.col("inspection_date"))
     )
     return joined.withColumn("previous_inspection_date", previous).drop(
-        "join_day", "h_license", "h_day", "first_id", "previous_day"
+        JOIN_DAY, "h_license", "h_day", "first_id", "previous_day"
     )
 
 
@@ -103,6 +126,8 @@ def license_history_asof(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows come last. Rows without a licence have no history: all zeros. ``keep``
     names further columns to carry along.
     """
+    if JOIN_DAY in df.columns:
+        return _asof_in_layout(df, keep)
     output = ("inspection_id", LICENCE, "inspection_date", *keep)
     measures = ("inspections", "fails", "passes")
     names = {f"{m}_before": f"prior_{m}" for m in measures}
@@ -131,6 +156,42 @@ def license_history_asof(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return earlier.unionByName(unlicensed)
 
 
+def _asof_in_layout(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The same for a table in ``in_layout``: totals of earlier days are joined, and only rows of one day are ordered.
+
+    Neither shuffles a row of the table.
+    """
+    output = ("inspection_id", LICENCE, "inspection_date", *keep)
+    measures = ("inspections", "fails", "passes")
+    result = F.col("results")
+    rows = df.select(
+        *output,
+        JOIN_DAY,
+        F.lit(1).cast("bigint").alias("inspections"),
+        failed(result).cast("bigint").alias("fails"),
+        passed(result).cast("bigint").alias("passes"),
+    )
+    earlier_days = Window.partitionBy(LICENCE).orderBy(JOIN_DAY).rowsBetween(Window.unboundedPreceding, -1)
+    days = (
+        rows.where(F.col(LICENCE).isNotNull())
+        .groupBy(LICENCE, JOIN_DAY)
+        .agg(*(F.sum(m).alias(m) for m in measures))
+        .select(
+            F.col(LICENCE).alias("h_license"),
+            F.col(JOIN_DAY).alias("h_day"),
+            *(F.sum(m).over(earlier_days).alias(f"{m}_earlier") for m in measures),
+        )
+    )
+    same_day = Window.partitionBy(LICENCE, JOIN_DAY).orderBy("inspection_id").rowsBetween(Window.unboundedPreceding, -1)
+    joined = rows.join(days, (F.col(LICENCE) == F.col("h_license")) & (F.col(JOIN_DAY) == F.col("h_day")), "left")
+
+    def prior(measure: str) -> Column:
+        counts = F.coalesce(f"{measure}_earlier", F.lit(0)) + F.coalesce(F.sum(measure).over(same_day), F.lit(0))
+        return F.when(F.col(LICENCE).isNull(), F.lit(0)).otherwise(counts).cast("bigint").alias(f"prior_{measure}")
+
+    return joined.select(*output, *map(prior, measures))
+
+
 def point_in_time(mart: DataFrame) -> DataFrame:
     """The mart with its licence totals as they were before each inspection.
 

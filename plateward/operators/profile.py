@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from plateward.functions.inspection import percent, year_month
-from plateward.functions.text import normal_form
+from plateward.functions.text import letters_only, normal_form
 from plateward.operators.quality import foreign_values
 
 
@@ -66,6 +66,46 @@ def column_profile(
     )
 
 
+SKETCH_LOG_SIZE = 14  # 2**14 registers: a standard error of 0.8 percent
+
+
+def yearly_sketches(df: DataFrame, columns: Sequence[str], year: str = "inspection_year") -> DataFrame:
+    """One row per year and column: rows, NULLs and a mergeable sketch of the distinct values.
+
+    Small whatever the table's size: kept beside the table, it gives the profile of any years.
+    """
+    cells = df.groupBy(year).agg(
+        F.count("*").alias("all_rows"),
+        *(F.count_if(F.col(c).isNull()).alias(f"nulls_{k}") for k, c in enumerate(columns)),
+        *(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_LOG_SIZE)).alias(f"sketch_{k}") for k, c in enumerate(columns)),
+    )
+    rows = F.array(
+        *(
+            F.struct(F.lit(c).alias("column_name"), F.col(f"nulls_{k}").alias("nulls"), F.col(f"sketch_{k}").alias("sketch"))
+            for k, c in enumerate(columns)
+        )
+    )
+    return cells.select(F.col(year).alias("year"), "all_rows", F.inline(rows))
+
+
+def profile_of_years(sketches: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    """The profile of the years from ``first`` to ``last``, from their sketches alone. Distinct values are estimates."""
+    span = sketches
+    if first is not None:
+        span = span.where(F.col("year") >= first)
+    if last is not None:
+        span = span.where(F.col("year") <= last)
+    merged = span.groupBy("column_name").agg(
+        F.sum("all_rows").alias("all_rows"), F.sum("nulls").alias("nulls"), F.hll_union_agg("sketch").alias("sketch")
+    )
+    return merged.select(
+        "column_name",
+        "nulls",
+        percent(F.col("nulls"), F.col("all_rows")).alias("null_pct"),
+        F.hll_sketch_estimate("sketch").alias("distinct_values"),
+    )
+
+
 def domain_violations(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
     """Rows per value outside its column's domain. NULL is inside."""
     return (
@@ -98,6 +138,30 @@ def variants(df: DataFrame, column: str, normaliser=normal_form) -> DataFrame:
     )
 
 
+def collated_variants(df: DataFrame, column: str, collation: str = "UNICODE_CI_AI") -> DataFrame:
+    """Names that differ only in case, accents and signs, in any script.
+
+    Letters and digits are compared under a collation that ignores case and
+    accents. ``form`` is the least of the upper-cased spellings. Spellings are counted first, so a
+    frequent one is one row.
+    """
+    spellings = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("spelling")).agg(F.count("*").alias("n"))
+    letters = letters_only(F.col("spelling"))
+    return (
+        spellings.withColumn("form", F.upper(letters))
+        .where("form <> ''")
+        .groupBy(F.collate("form", collation).alias("key"))
+        .agg(
+            F.min("form").alias("form"),
+            F.count("*").alias("spellings"),
+            F.sum("n").alias("rows"),
+            (F.sum("n") - F.max("n")).alias("affected_rows"),
+        )
+        .where(F.col("spellings") > 1)
+        .drop("key")
+    )
+
+
 def kpis(mart: DataFrame) -> DataFrame:
     """Overall figures in one row."""
     figures = mart.agg(

@@ -12,7 +12,7 @@ from plateward.plans.mart import build_mart
 from plateward.plans.staging import build_staging
 from plateward.session import exists, stored
 from plateward.sources.inspections_csv import read_inspections
-from plateward.sources.tables import as_view, namespace, publish, table
+from plateward.sources.tables import as_view, changed_parts, digests, namespace, publish, table
 from plateward.values import MART_TESTS, STAGING_TESTS
 
 
@@ -73,6 +73,16 @@ def current_staging(spark: SparkSession, warehouse: str) -> DataFrame:
     return build_staging(landed(spark, current(spark, warehouse).raw_path))
 
 
+def digests_path(mart_path: str) -> str:
+    """Where a run keeps the digest of each year of its mart."""
+    return mart_path.replace("/mart/run=", "/digests/run=")
+
+
+def changed_years(spark: SparkSession, before: Run, after: Run) -> DataFrame:
+    """Years whose mart rows differ between two runs; none if the refresh brought the same rows."""
+    return changed_parts(*(spark.read.parquet(digests_path(run.mart_path)) for run in (before, after)))
+
+
 def publish_run(spark: SparkSession, warehouse: str, run: Run) -> None:
     values = F.lit(datetime.now(timezone.utc)).alias("published_at"), *(
         F.lit(value).alias(name) for name, value in vars(run).items()
@@ -171,6 +181,8 @@ def run_daily(
     )
     tests.coalesce(1).write.mode("overwrite").parquet(tests_path)
     check(spark.read.parquet(tests_path))
+    by_year = digests(new_mart, "inspection_year", without=["ingested_at"])
+    by_year.coalesce(1).write.mode("overwrite").parquet(digests_path(mart_path))
     run = Run(raw_path, mart_path, tests_path, loaded, bad)
     publish_run(spark, warehouse, run)
 

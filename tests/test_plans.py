@@ -150,3 +150,35 @@ def test_scratch_lies_in_the_named_folder(spark):
     assert checkpoint_folder(spark) == named
     files = stored(spark.range(3), "three").inputFiles()
     assert files and all(named in f for f in files)
+
+
+def test_a_bucketed_table_is_joined_without_shuffling_its_rows(spark, raw, large):
+    from plateward.operators import history
+
+    inside = build_staging(raw)
+    keys = "inspections_by_licence_and_day"
+    table = history.in_layout(inside, "default", keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        large("-1")
+        for job in (history.attach_license_days, lambda df: history.license_history_asof(df, ["violations_raw"])):
+            plan = final(job(table))
+            assert "SortMergeJoin" in plan and wide_shuffles(plan) == 0, plan
+            # What is shuffled is one row per licence and day.
+            for line in plan.splitlines():
+                if "Exchange hashpartitioning" in line:
+                    assert "inspection_id" not in line
+            assert sorted(map(repr, job(table).collect())) == sorted(map(repr, job(inside).collect()))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS default.{keys}")
+
+
+def test_a_hot_licence_is_spread_over_buckets(spark, raw):
+    from plateward.operators import history
+
+    hot = build_staging(raw).withColumn("license_number", F.lit("0"))
+    try:
+        table = history.in_layout(hot, "default", "hot_licence", 4)
+        sizes = [r["count"] for r in table.groupBy(F.col("_metadata.file_name")).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS default.hot_licence")
