@@ -21,8 +21,9 @@ agree and no window or shuffle of documents is needed.
 
 Defined results: a NULL or empty text has size 0 and takes nothing. Rows
 without a source form a source, the last. A NULL prior counts as 1. Rows equal
-in id, text, source and prior get the same copies. An empty table gives no rows. Columns of the
-input named like a computed one give way to it.
+in id, text, source and prior get the same copies. Sources that tie in their level are filled in
+code-point order. A text of any length is counted whole. An empty table gives no rows. In ``mixed``,
+columns of the input named like a computed one give way to it; ``taken_rows`` keeps every column.
 """
 
 from __future__ import annotations
@@ -253,17 +254,23 @@ def _nearer(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
     return by_source(sources, best, "left").where(F.col("side") == F.coalesce("best", F.lit(0)))
 
 
-def mixed(
+def line_novelty(text: Column) -> Column:
+    """A prior: half to one, by the share of a text's lines that are not repeats of one another."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    return 0.5 + 0.5 * F.size(F.array_distinct(lines)) / F.size(lines)
+
+
+def _counted_rows(
     docs: DataFrame,
-    weights: Sequence[float] = WEIGHTS,
-    share: float = SHARE,
-    cap: int = CAP,
-    prior: Column | None = None,
-    id_column: str = "doc_id",
-    source_column: str = "source",
-    text_column: str = "text",
+    weights: Sequence[float],
+    share: float,
+    cap: int,
+    prior: Column | None,
+    id_column: str,
+    source_column: str,
+    text_column: str,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``rate``, ``copies`` and ``taken``."""
+    """``__row``, the whole document as a struct, with ``__size``, ``__mix`` of its source, ``__rate``, ``__copies``."""
     text, record_id = F.col(f"`{text_column}`"), F.col(f"`{id_column}`")
     own = {
         "source": F.col(f"`{source_column}`"),
@@ -297,7 +304,21 @@ def mixed(
     joined = given.join(chosen, F.col("__source").eqNullSafe(F.col("__mix.source")))
     tilted = rate(F.col("__prior"), F.col("__mix.multiplier"), cap)
     count = copies(F.col("__key"), tilted, F.col("__mix.bound"), F.col("__mix.picks"))
-    counted = joined.select("__row", "__size", "__mix", tilted.alias("__rate"), count.alias("__copies"))
+    return joined.select("__row", "__size", "__mix", tilted.alias("__rate"), count.alias("__copies"))
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    cap: int = CAP,
+    prior: Column | None = None,
+    id_column: str = "doc_id",
+    source_column: str = "source",
+    text_column: str = "text",
+) -> DataFrame:
+    """``docs`` with ``size``, ``source_size``, ``target``, ``rate``, ``copies`` and ``taken``."""
+    counted = _counted_rows(docs, weights, share, cap, prior, id_column, source_column, text_column)
     added = {
         "size": F.col("__size"),
         "source_size": F.col("__mix.source_size"),
@@ -315,3 +336,19 @@ def repeated(mix: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each document of a mix as often as it has copies, with the named columns."""
     times = F.explode(F.array_repeat(F.lit(True), F.col("copies"))).alias("__copy")
     return mix.where("copies > 0").select(*(F.col(f"`{c}`") for c in columns), times).drop("__copy")
+
+
+def taken_rows(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    cap: int = CAP,
+    prior: Column | None = None,
+    id_column: str = "doc_id",
+    source_column: str = "source",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with their columns whatever these are called."""
+    counted = _counted_rows(docs, weights, share, cap, prior, id_column, source_column, text_column)
+    times = F.explode(F.array_repeat(F.lit(True), F.col("__copies"))).alias("__copy")
+    return counted.where("__copies > 0").select("__row", times).select("__row.*")

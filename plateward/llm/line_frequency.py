@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 RATIO = 0.3
-MIN_PAGES = 3
+MIN_PAGES = 2
 SALTS = 32
 
 # What separates lines in HTML, what is no text, and how a host is written.

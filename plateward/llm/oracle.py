@@ -26,7 +26,7 @@ lines AS (
 common AS (
   SELECT host, line FROM (SELECT DISTINCT r, host, line FROM lines WHERE host IS NOT NULL)
   JOIN (SELECT host, count(*) AS pages FROM split GROUP BY host) USING (host)
-  GROUP BY host, line, pages HAVING count(*) >= 3 AND count(*) > 0.3 * pages
+  GROUP BY host, line, pages HAVING count(*) >= 2 AND count(*) > 0.3 * pages
 ),
 kept AS (
   SELECT r, count(*) AS n_kept, string_agg(line, chr(10) ORDER BY k) AS text

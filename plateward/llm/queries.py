@@ -61,7 +61,7 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mix = entropy_mix.mixed(docs)
+    mix = entropy_mix.mixed(docs, prior=entropy_mix.line_novelty(docs["text"]))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 

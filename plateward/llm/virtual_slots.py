@@ -7,8 +7,9 @@ row per slot, so of fixed size, are ever sorted, gathered or broadcast.
 
 Defined results: a NULL text has no bytes and the check sum of an empty text. A
 record without an id is placed by its text. Repeated rows share a slot and are
-all kept. An empty table gives no rows, with a map of empty slots. Columns of
-the input named like a computed one give way to it.
+all kept, and of ties in all that orders a slot any may come first. A text of any length
+is one record. An empty table gives no rows, with a map of empty slots. Columns of the input
+named like a computed one stay under another name.
 """
 
 from __future__ import annotations
@@ -135,17 +136,30 @@ def placed(records: DataFrame, slot_map: DataFrame, sizes: DataFrame, tie: list[
     """
     earlier = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slot_map.join(F.broadcast(sizes), "virtual_slot").select(
-        "virtual_slot", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before")
+        "virtual_slot", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("__rows_before")
     )
     inside = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(*tie)) - 1
-    ranked = records.withColumn("place", inside)
+    ranked = records.withColumn("__place", inside)
     return (
         ranked.join(F.broadcast(offsets), "virtual_slot")
-        .withColumn("slot", F.col("rows_before") + F.col("place"))
-        .drop("rows_before", "place")
+        .withColumn("slot", F.col("__rows_before") + F.col("__place"))
+        .drop("__rows_before", "__place")
     )
 
 
+def _other_names(columns: list[str], computed: set[str]) -> dict[str, str]:
+    """New names for columns that clash, none of them taken."""
+    names, taken = {}, {c.lower() for c in columns} | computed
+    for c in columns:
+        if c.lower() in computed:
+            other = f"given_{c}"
+            while other.lower() in taken:
+                other = f"given_{other}"
+            names[c] = other
+            taken.add(other.lower())
+    return names
+
+
 def sharded(
     docs: DataFrame,
     shards: int,
@@ -156,13 +170,16 @@ def sharded(
 ) -> DataFrame:
     """``docs`` with ``size``, ``text_crc32``, ``virtual_slot``, ``map_version``, ``shard`` and ``slot``.
 
+    A column of the documents with one of these names, in any case, stays under ``given_<name>``.
+
     ``slot_map`` is a version of a stored map, used as it is. Without one the
     first version is computed for these records and stored.
     """
     spark = docs.sparkSession
     text = F.col(f"`{text_column}`")
+    computed = {"size", "text_crc32", "virtual_slot", "map_version", "shard", "slot"}
     records = with_columns(
-        docs.drop("shard", "slot", "rows_before", "place", "map_version"),
+        docs.withColumnsRenamed(_other_names(docs.columns, computed)),
         {
             "size": record_bytes(text),
             "text_crc32": F.crc32(F.coalesce(text, F.lit("")).cast("binary")),

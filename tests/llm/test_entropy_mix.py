@@ -1,7 +1,9 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
-from plateward.llm.entropy_mix import mixed, repeated
+from plateward.llm.entropy_mix import mixed, repeated, taken_rows
 from plateward.llm.queries import queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -49,6 +51,35 @@ def test_query_meets_targets_and_reruns_agree(spark):
     checked(rows, lambda s, t: 0.02 * t + 100)
 
 
+def test_rates_solve_the_dual(spark):
+    """Each source's multiplier by bisection; rates of a source's documents differ by their priors."""
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    by_source = {}
+    for r in queries()["op5_entropy_mix"](spark, FOLDER).collect():
+        lines = (docs[r["doc_id"]]["text"] or "").split("\n")
+        prior = 0.5 + 0.5 * len(set(lines)) / len(lines)
+        by_source.setdefault(docs[r["doc_id"]]["source"], []).append((r["size"], prior, r["rate"], r["target"]))
+    tilted = 0
+    for rows in by_source.values():
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            words = sum(size * min(2.0, prior * math.exp(middle)) for size, prior, _, _ in rows)
+            low, high = (middle, high) if words < rows[0][3] else (low, middle)
+        for _, prior, rate, _ in rows:
+            assert rate == pytest.approx(min(2.0, prior * math.exp(high)), rel=1e-6)
+        tilted += len({round(rate, 9) for _, _, rate, _ in rows}) > 1
+    assert tilted >= 3
+
+
+def test_taken_rows_keep_clashing_columns(spark, awkward):
+    rows = taken_rows(awkward)
+    assert rows.schema == awkward.schema
+    given = {tuple(r) for r in awkward.collect()}
+    assert {tuple(r) for r in rows.collect()} <= given
+    assert rows.count() == mixed(awkward).agg(F.sum("copies")).first()[0]
+
+
 def test_awkward(awkward, nothing):
     mix = mixed(awkward)
     assert mix.count() == awkward.count()

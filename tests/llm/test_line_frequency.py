@@ -22,8 +22,10 @@ def test_drops_lines_above_the_share_of_their_own_host(spark):
     assert found[25]["text"] == "o 5"
 
 
-def test_few_pages_lose_nothing(spark):
-    assert result(spark, [page(k, "http://a.com", "menu") for k in range(2)])[1]["n_dropped"] == 0
+def test_one_page_proves_nothing_and_two_do(spark):
+    assert result(spark, [page(1, "http://a.com", "menu", "menu")])[1]["n_dropped"] == 0
+    found = result(spark, [page(k, "http://a.com", "menu", f"own {k}") for k in range(2)])
+    assert found[1]["text"] == "own 1" and found[0]["n_dropped"] == 1
 
 
 def test_awkward_pages(spark):

@@ -87,3 +87,37 @@ def test_near_duplicates_by_five_words_and_80_percent(spark):
     near = [*base[:30], "x", *base[31:60], "y", *base[61:]]
     docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near))], "doc_id bigint, text string")
     assert ids(corpus_pipeline.near_duplicates(spark, docs, FOLDER)) == {1}
+
+
+@pytest.fixture(scope="module")
+def odd_tables(tmp_path_factory, awkward, nothing, benchmark, labels):
+    """Folders of awkward and of empty tables; documents have columns named like what stages compute."""
+    names = "place rows_before source_size given_size map_version __x".split()
+    folders = {}
+    for kind, docs in (("awkward", awkward), ("empty", nothing)):
+        folder = tmp_path_factory.mktemp(kind)
+        more = docs.selectExpr("*", *(f"'{n}' AS `{n}`" for n in names))
+        for name, df in (("documents", more), ("benchmark", benchmark), ("labels", labels)):
+            (df if kind == "awkward" else df.limit(0)).write.parquet(f"{folder}/{name}.parquet")
+        folders[kind] = str(folder)
+    return folders
+
+
+def test_columns_keep_value_and_type_through_all_stages(spark, odd_tables):
+    folder = odd_tables["awkward"]
+    docs = first = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        rows = {tuple(r) for r in docs.collect()}
+        docs = stored(stage(spark, docs, folder), name)
+        if name != "sharding":
+            assert docs.schema == first.schema
+            assert {tuple(r) for r in docs.collect()} <= rows
+    assert docs.count() > 0
+    r = docs.first()
+    assert (r["place"], r["rows_before"], r["source_size"], r["given_size"]) == ("place", "rows_before", "source_size", "given_size")
+    assert (r["given_given_size"], r["given_shard"], r["given_map_version"], r["rate"]) == ("c", "c", "map_version", "c")
+    assert isinstance(r["size"], int) and isinstance(r["shard"], int)
+
+
+def test_empty_tables(spark, odd_tables):
+    assert corpus_pipeline.run(spark, odd_tables["empty"]).count() == 0
