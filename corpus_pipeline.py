@@ -1,4 +1,10 @@
-"""From raw documents to training shards: each stage is written and read again before the next."""
+"""From raw documents to training shards: each stage is written and read again before the next.
+
+Stages keep every column of the documents with its value and type, whatever its name;
+only ``sharding`` adds some, and there a document's column of the same name is called
+``given_<name>``. A document without an id or text is like any other. A stage gives an
+empty table for an empty one. Texts are taken whole.
+"""
 
 from __future__ import annotations
 
@@ -14,27 +20,37 @@ NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    A NULL text is scored like an empty one; repeated rows all stay or all go.
+    """
     return discriminant.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the least id."""
+    """One document of each group of near copies, the one with the least id.
+
+    Documents without words have no copies and all stay. Of rows equal in id and text one stays; of
+    ties in the id, the text's hash decides.
+    """
     return jaccard_join.one_per_group(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no phrase of the benchmark."""
+    """Documents that hold no phrase of the benchmark. Without words, a document or an item holds none."""
     return decontamination.clean(decontamination.scanned(docs, table(spark, sf_dir, "benchmark")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
-    return entropy_mix.repeated(entropy_mix.mixed(docs), docs.columns)
+    """Each document as often as the mix of sources takes it. One without words is not taken.
+
+    Documents without a source are a source; repeated rows are taken alike.
+    """
+    return entropy_mix.taken_rows(docs, prior=entropy_mix.line_novelty(docs["text"]))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its shard and its place there."""
+    """Every document with its shard and its place there. Rows equal in id, text and size may change places."""
     return virtual_slots.sharded(docs, SHARDS)
 
 
