@@ -38,11 +38,11 @@ from plateward.values import (  # noqa: E402
     TOP_TYPES,
 )
 
-# The training-data operators may be absent; then their queries are too.
+# The training-data operators, or a package that they need, may be absent; then their queries are too.
 try:
     from plateward.llm import oracle as llm_oracle, queries as llm_queries
 except ImportError as missing:
-    if missing.name not in ("plateward.llm", "corpus_pipeline"):
+    if not (isinstance(missing, ModuleNotFoundError) or missing.name == "plateward.llm"):
         raise
     llm_oracle = llm_queries = None
 
