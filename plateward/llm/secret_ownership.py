@@ -11,7 +11,7 @@ Values are compared by 64-bit hash and never leave the scan in clear.
 
 Defined results: a NULL text is empty. A candidate without owner counts NULL as
 one owner of its own. Repeated rows are separate repositories if they have no id,
-one repository otherwise; each keeps its row. Empty tables give empty results.
+one repository otherwise; each keeps its row. A text of any length is scanned whole. Empty tables give empty results.
 Only the named columns are read, so others cannot clash.
 """
 
@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -37,7 +39,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 ASSIGN_LENGTH = 8
-PLACEHOLDER = re.compile(r"(?ai:example|sample|dummy|changeme|placeholder|your|test|xxxx|1234567|abcdef)")
+# As whole parts of a value: runs of letters or of digits.
+PLACEHOLDER = re.compile(
+    r"(?ai:(?<![a-z])(?:example|sample|dummy|changeme|placeholder|your|test|x{4,}|abcdef)(?![a-z])|(?<!\d)1234567\d*)"
+)
 
 # Owned: at most so many owners hold the value.
 MAX_OWNERS = 2
@@ -66,10 +71,8 @@ def looks_random(value: str) -> bool:
 
 
 def mixed(value: str) -> bool:
-    """Digits, capitals and small letters together, as in encoded random bytes."""
-    return (
-        any(c.isdigit() for c in value) and any(c.isupper() for c in value) and any(c.islower() for c in value)
-    )
+    """A letter and a digit, as in encoded random bytes. Whether it is a secret, owners decide."""
+    return any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
 
 
 def hashed(value: str) -> int:
@@ -87,8 +90,10 @@ def find(text: str) -> list[tuple[int, int, int, int, bool]]:
     tokens = [m for m in TOKEN.finditer(text) if mixed(m[0]) and looks_random(m[0])]
     if tokens:
         base = sorted((start, end) for _, start, end, _ in found)
+        starts, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))
         for m in tokens:
-            if not any(start < m.end() and m.start() < end for start, end in base):
+            before = bisect_left(starts, m.end())
+            if not before or reach[before - 1] <= m.start():
                 found.append((3, m.start(), m.end(), m[0]))
     found.sort(key=lambda f: (f[1], f[0]))
     return [(k, s, e, hashed(v), k == 3 or looks_random(v)) for k, s, e, v in found]

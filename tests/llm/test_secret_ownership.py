@@ -69,3 +69,27 @@ def test_value_of_one_owner_is_live_in_many_documents(spark):
     rows = [(k, f"doc {k} {owned} end", "me") for k in range(10)]
     found = s.secrets(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()
     assert {(r["spans"], r["n_live"], r["n_copied"]) for r in found} == {(f"owned:6:{6 + len(owned)}", 1, 0)}
+
+
+def test_owners_decide_over_tokens_of_two_letter_classes(spark):
+    small, word = "kq7lw3xv9zn2bm5jt8rf1hg", "Kq7Lw3testXv9Zn2Bm5Jt8Rf1Hg"
+    for token in (small, word):
+        mine = [(k, f"doc {k} {token} end", "me") for k in range(4)]
+        shared = [(k, f"doc {k} {token} end", f"owner{k}") for k in range(4)]
+        for rows, live in ((mine, True), (shared, False)):
+            found = s.secrets(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()
+            spans = f"owned:6:{6 + len(token)}" if live else ""
+            assert {(r["spans"], r["n_live"], r["n_copied"]) for r in found} == {(spans, int(live), int(not live))}
+
+
+def test_placeholders_are_whole_parts():
+    for value in ("changeme123", "my-test-key-0f9e8d7c6b5a", "XXXXXXXX-4f9e8d7c6b5a", "1234567890abcdefghij"):
+        assert not s.looks_random(value)
+    for value in ("kq7testxv9zn2bm5jt8rf1hg", "yourselfq9w8e7r6t5y4", "a12345670b9f8e7d6c5"):
+        assert s.looks_random(value) == (value != "a12345670b9f8e7d6c5")
+
+
+def test_tokens_beside_and_inside_base_spans():
+    token = "kq7lw3xv9zn2bm5jt8rf1hg"
+    found = s.find(f"secret={token} {token} token: {token}," + f" password=abcdefgh {token}" * 300)
+    assert [f[0] for f in found[:3]] == [0, 3, 0] and sum(f[0] == 3 for f in found) == 301
