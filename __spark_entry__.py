@@ -50,8 +50,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 BOOSTED_FEATURES = ("violation_count", "inspection_month", "license_total_fails", "days_since_previous_inspection")
 DAILY_LAYERS = daily.Layers("demo_raw", "demo_staging", "demo_marts")
 # Trainings of this process by session and folder: the model queries share one.
-_TRAINED: dict[tuple[str, str, str], compliance.Compliance] = {}
-_FOLDS: dict[tuple[str, str], DataFrame] = {}
+_TRAINED: dict[tuple[str, str], compliance.Compliance] = {}
+_BOOSTED: dict[tuple[str, str], tuple[boosting.Boosted, DataFrame, DataFrame]] = {}
 
 
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +177,10 @@ def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("inspection_id", "label", *FEATURES)
 
 
-def _trained(spark: SparkSession, sf_dir: str, learner: str = compliance.FIRST_ORDER) -> compliance.Compliance:
-    key = (spark.sparkContext.applicationId, sf_dir, learner)
+def _trained(spark: SparkSession, sf_dir: str) -> compliance.Compliance:
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        _TRAINED[key] = compliance.train(_mart(spark, sf_dir), learner=learner)
+        _TRAINED[key] = compliance.train(_mart(spark, sf_dir))
     return _TRAINED[key]
 
 
@@ -210,21 +210,24 @@ def gbt_importances_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _encoded_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = compliance.encoded_set(_mart(spark, sf_dir))
-    return features.temporal_split(rows)[0]
+def _boosted(spark: SparkSession, sf_dir: str) -> tuple[boosting.Boosted, DataFrame, DataFrame]:
+    """The second-order model of all training rows, the AUC of each fold, and the test rows: one training."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BOOSTED:
+        rows, _ = compliance.encoded_set(_mart(spark, sf_dir))
+        training, test = features.temporal_split(rows)
+        trained, aucs = boosting.train_and_validate(training)
+        _BOOSTED[key] = trained, stored(aucs, "aucs"), test
+    return _BOOSTED[key]
 
 
 def gbt_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FOLDS:
-        _FOLDS[key] = stored(boosting.cross_validate(_encoded_training(spark, sf_dir)), "aucs")
-    return _FOLDS[key]
+    return _boosted(spark, sf_dir)[1]
 
 
 def cv_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each fold's size, and whether its area and the summary of all are as they must be."""
-    aucs = stored(gbt_cross_validation(spark, sf_dir), "aucs")
+    aucs = gbt_cross_validation(spark, sf_dir)
     summary = model.cv_summary(aucs).first()
     squares = F.avg(F.col("roc_auc") * F.col("roc_auc")).over(Window.partitionBy())
     mean = F.avg("roc_auc").over(Window.partitionBy())
@@ -267,12 +270,12 @@ def _properties(scored: DataFrame) -> DataFrame:
 
 def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows scored by the job's 300 second-order trees."""
-    scored = _trained(spark, sf_dir, compliance.SECOND_ORDER).scored
-    return scored.select("inspection_id", "label", "prediction", "score")
+    trained, _, test = _boosted(spark, sf_dir)
+    return boosting.score(trained, test).select("inspection_id", "label", "prediction", "score")
 
 
 def boosted_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boosting.importances(spark, _trained(spark, sf_dir, compliance.SECOND_ORDER).model)
+    return boosting.importances(spark, _boosted(spark, sf_dir)[0])
 
 
 def boosted_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:

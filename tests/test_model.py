@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from plateward.operators import features, model
+from plateward.operators import boosting, features, model
 from plateward.plans import compliance
 from plateward.values import FEATURES, MODEL_COLUMNS
 
@@ -114,3 +114,39 @@ def test_cross_validation(mart):
     mean = sum(values) / 3
     assert summary.mean_auc == pytest.approx(mean)
     assert summary.std_auc == pytest.approx((sum((v - mean) ** 2 for v in values) / 3) ** 0.5)
+
+
+@pytest.fixture(scope="module")
+def second_order(spark, mart, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("boosted"))
+    return compliance.train(mart, path, trees=4, learner=compliance.SECOND_ORDER), path
+
+
+def test_second_order_learner_finds_the_signal(second_order):
+    result, _ = second_order
+    tables = result.tables
+    assert tables["roc_auc"].first().roc_auc > 0.85
+    importances = tables["importances"].collect()
+    assert importances[0].feature == "violation_count" and len(importances) == 12
+    assert result.scored.where("score < 0 or score > 1 or prediction not in (0, 1)").count() == 0
+
+
+def test_stored_second_order_model_scores_the_same(spark, mart, second_order):
+    result, path = second_order
+    kept = compliance.current(spark, path)
+    assert kept.learner == compliance.SECOND_ORDER
+    rows = features.encode(features.impute(features.modelling_set(mart)), kept.codes)
+    _, test = features.temporal_split(rows)
+    scores = lambda df: {r.inspection_id: r.score for r in df.collect()}
+    assert scores(boosting.score(kept.model, test)) == scores(result.scored) == scores(kept.scored)
+
+
+def test_folds_grow_with_the_model(spark, mart):
+    rows, _ = compliance.encoded_set(mart)
+    training, _ = features.temporal_split(rows)
+    settings = boosting.Settings(trees=4, depth=3, rate=0.3)
+    trained, together = boosting.train_and_validate(training, 3, settings)
+    alone = boosting.cross_validate(training, 3, settings)
+    assert {tuple(r) for r in together.collect()} == {tuple(r) for r in alone.collect()}
+    assert together.count() == 3 and together.agg(F.min("roc_auc")).first()[0] > 0.8
+    assert len(trained.models) == 4
