@@ -134,6 +134,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM failed
 """
 
+_RULES = ("few_words", "repeated_windows", "symbols", "repeated_lines", "short_words", "long_words", "capitals")
+_POLICIES = (("base", 1, 2), ("standard", 1, 4), ("standard", 2, 7))
+
+
+def _ablations() -> str:
+    rows = [
+        f"SELECT '{name}' AS policy, {version} AS version, '{_RULES[k]}' AS rule,"
+        f" count(*) FILTER (failed_rules & {(1 << n) - 1} = 0) AS kept,"
+        f" count(*) FILTER (failed_rules & {(1 << n) - 1 - (1 << k)} = 0) AS kept_without,"
+        f" count(*) FILTER (failed_rules & {(1 << n) - 1} = {1 << k}) AS only FROM failed"
+        for name, version, n in _POLICIES
+        for k in range(n)
+    ]
+    layers = _LEDGER[: _LEDGER.rindex("SELECT doc_id, n_words, word_chars")]
+    return layers + " UNION ALL ".join(rows)
+
+
 _PREFERENCES = r"""
 WITH turns AS (
   SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k
@@ -226,6 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_fm_index": _DECONTAMINATED,
         "op3_jaccard_join": _SIMILAR,
         "op4_rule_ledger": _LEDGER,
+        "rule_ablations": _ablations(),
         "op9_preference_format": _PREFERENCES,
         "op13_son_collocations": _PHRASES,
     }

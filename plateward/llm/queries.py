@@ -45,7 +45,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = rule_ledger.ledger(table(spark, sf_dir, "documents"))
+    entries = rule_ledger.kept_ledger(table(spark, sf_dir, "documents"))
     return entries.select(
         "doc_id",
         "n_words",
@@ -59,6 +59,11 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy rejects, from the stored ledger."""
+    return rule_ledger.ablations(rule_ledger.kept_ledger(table(spark, sf_dir, "documents")))
+
+
 def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mix = entropy_mix.mixed(docs, prior=entropy_mix.line_novelty(docs["text"]))
@@ -79,6 +84,11 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def grown_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard before and after one shard is added."""
+    return virtual_slots.grown(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
+
+
 def op7_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discriminant.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -141,5 +151,7 @@ def queries() -> dict[str, Query]:
         "op11_suffix_merge": op11_suffix_merge,
         "op12_grammar_runs": op12_grammar_runs,
         "op13_son_collocations": op13_son_collocations,
+        "rule_ablations": rule_ablations,
+        "grown_slots": grown_slots,
         "pipeline": pipeline,
     }

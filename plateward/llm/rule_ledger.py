@@ -17,6 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plateward.llm.common import WHITE_SPACE, let, total, words
+from plateward.session import stored
 
 WINDOW = 8
 MEASURES = (
@@ -153,6 +154,11 @@ def ledger(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     return measured(docs, id_column, text_column).withColumn("failed", failed)
 
 
+def kept_ledger(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The ledger written once: every policy and ablation reads its numbers, none the texts."""
+    return stored(ledger(docs, id_column, text_column), "ledger", path)
+
+
 def passes(policy: Policy) -> Column:
     """Whether a ledger's row passes a policy."""
     return F.col("failed").bitwiseAND(F.lit(mask(policy)).cast("bigint")) == 0

@@ -192,3 +192,28 @@ def sharded(
     version = slot_map.agg(F.max("version")).first()[0]
     rows = placed(records, slot_map.drop("version"), sizes, [f"`{id_column}`", "text_crc32", "size"])
     return rows.withColumn("map_version", F.lit(version).cast("bigint"))
+
+
+def grown(
+    docs: DataFrame, shards: int, slots: int = SLOTS, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """Per record: its id, ``virtual_slot``, ``size``, ``shard`` by the first map and ``next_shard`` by the map's edit
+    for one shard more.
+
+    Both versions are stored in one folder.
+    """
+    spark, text = docs.sparkSession, F.col(f"`{text_column}`")
+    records = docs.select(
+        F.col(f"`{id_column}`").alias(id_column),
+        record_bytes(text).alias("size"),
+        virtual_slot(F.col(f"`{id_column}`"), text, slots).alias("virtual_slot"),
+    )
+    sizes = stored(slot_sizes(spark, records, slots), "slot-sizes")
+    folder = scratch_path(spark, "slot-map")
+    first = keep_map(first_map(sizes, shards), folder)
+    second = keep_map(rebalanced(first, sizes, shards + 1), folder)
+    both = first.drop("version").join(
+        second.select("virtual_slot", F.col("shard").alias("next_shard")), "virtual_slot"
+    )
+    # A row per virtual slot.
+    return records.join(F.broadcast(both), "virtual_slot")

@@ -69,3 +69,23 @@ def test_awkward(awkward, nothing):
         assert r["text_crc32"] == zlib.crc32((r["text"] or "").encode())
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
     assert v.sharded(nothing, 4).count() == 0
+
+
+def test_one_shard_more_takes_its_share_from_the_others(spark):
+    rows = queries()["grown_slots"](spark, FOLDER).collect()
+    text = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(text)
+    assert all(r["size"] == len(text[r["doc_id"]].encode()) + 8 for r in rows)
+    by_slot = defaultdict(set)
+    for r in rows:
+        by_slot[r["virtual_slot"]].add((r["shard"], r["next_shard"]))
+    assert all(len(pairs) == 1 for pairs in by_slot.values())
+    many = spark.range(60_000).selectExpr("id AS doc_id", "repeat('x', cast(pmod(hash(id), 400) as int)) AS text")
+    moved = v.grown(many, 8).agg(
+        F.count_if(F.expr("shard <> next_shard")).alias("moved"),
+        F.count_if(F.expr("shard <> next_shard AND next_shard <> 8")).alias("exchanged"),
+        F.sum(F.when(F.col("next_shard") == 8, F.col("size"))).alias("taken"),
+        F.sum("size").alias("all"),
+    ).first()
+    assert moved["exchanged"] <= 0.02 * 60_000 and moved["moved"] < 60_000 / 7
+    assert abs(moved["taken"] - moved["all"] / 9) < 0.2 * moved["all"] / 9
