@@ -203,11 +203,17 @@ WITH pieces AS (
 words AS (
   SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
 ),
+tokens AS (
+  SELECT p, lang, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM (SELECT row_number() OVER () AS p, lang, w FROM words)
+),
 spots AS (
-  SELECT lang, w, k.k, unnest(range(1, len(w) - k.k + 2)) AS i FROM words, (VALUES (1), (2), (3)) k(k) WHERE len(w) >= k.k
+  SELECT lang, x, lead(x) OVER follows AS y, lead(x, 2) OVER follows AS z FROM tokens
+  WINDOW follows AS (PARTITION BY p ORDER BY i)
 ),
 f AS (
-  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f FROM spots GROUP BY ALL
+  SELECT lang, 1 AS k, x AS phrase, count(*)::HUGEINT AS f FROM spots GROUP BY ALL
+  UNION ALL SELECT lang, 2, concat(x, ' ', y), count(*)::HUGEINT FROM spots WHERE y IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, concat(x, ' ', y, ' ', z), count(*)::HUGEINT FROM spots WHERE z IS NOT NULL GROUP BY ALL
 ),
 candidates AS (
   SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
@@ -222,8 +228,9 @@ lowest AS (
   SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 ),
 dropped AS (
-  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN candidates t ON s.lang = t.lang AND s.k = 2 AND t.k = 3
-    AND s.phrase IN (array_to_string(t.w[1:2], ' '), array_to_string(t.w[2:3], ' ')) AND 100 * t.f >= 50 * s.f
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part, f FROM candidates WHERE k = 3
+  ) t ON s.lang = t.lang AND s.phrase = t.part AND s.k = 2 AND 100 * t.f >= 50 * s.f
 ),
 totals AS (
   SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
