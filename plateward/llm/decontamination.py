@@ -10,7 +10,7 @@ A shard has a bounded number of words; a longer run is cut into pieces that
 overlap by a phrase less one word.
 
 Phrases are sent to the tasks in blocks of bounded size, as many passes as there
-are blocks. Documents are never shuffled.
+are blocks; between passes the scans are written. Documents are never shuffled.
 
 Defined results: a NULL or empty text has no words and no hits; a NULL or empty
 item has no phrases; an item without an id still marks words, but is not
@@ -114,7 +114,7 @@ def block_of(rows: list[Row]) -> Block | None:
 
 
 def blocks(benchmark_phrases: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
-    """All phrases in blocks of about ``block_bytes``, one on the driver at a time."""
+    """All phrases in blocks of about ``block_bytes``, one collected at a time."""
     size = F.octet_length("phrase") + F.coalesce(F.octet_length("item"), F.lit(0)) + 64
     total = benchmark_phrases.agg(F.sum(size)).first()[0] or 0
     count = max(1, -(-total // block_bytes))
@@ -184,9 +184,8 @@ def char_spans(text: str, spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     return [{"start": chars(places[s][0]), "end": chars(places[e - 1][1])} for s, e in spans]
 
 
-def _scan(batch: pa.RecordBatch, block: Block) -> list[pa.Array]:
+def _scan(batch: pa.RecordBatch, texts: list[str | None], block: Block) -> list[pa.Array]:
     """n_words, spans, chars and items of each text, with the spans and items of an earlier pass."""
-    texts = batch["text"].to_pylist()
     lists = [word_list(t) for t in texts]
     counts = np.array([len(w) for w in lists], np.int64)
     bounds = np.concatenate(([0], np.cumsum(counts + 1)))
@@ -244,33 +243,38 @@ def scanned(
     are the ids of the items with a phrase in the text.
     """
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    text = F.col(f"`{text_column}`").alias("text")
+    place = [c.lower() for c in docs.columns].index(text_column.lower())
     empty = "array<struct<start:bigint,end:bigint>>"
     rows = docs.select(
         whole,
-        text,
         F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast(empty).alias("spans"),
         F.array().cast(empty).alias("chars"),
         F.array().cast("array<string>").alias("items"),
     )
     wanted = stored(phrases(benchmark, item_column), "phrases")
-    found = list(
-        docs.sparkSession.sparkContext.broadcast(b) for b in blocks(wanted, block_bytes)
-    ) or [docs.sparkSession.sparkContext.broadcast(None)]
     row_type = rows.schema["row"].dataType.simpleString()
-    for shared in found:
+    found = blocks(wanted, block_bytes)
+    block, following = next(found, NOTHING), next(found, None)
+    while True:
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            names = ["row", "n_words", "spans", "chars", "items"]
             for batch in batches:
-                names = ["row", "text", "n_words", "spans", "chars", "items"]
-                for start, end in portions(batch["text"].to_pylist(), PORTION):
+                texts = batch["row"].field(place).to_pylist()
+                for start, end in portions(texts, PORTION):
                     part = batch.slice(start, end - start)
-                    added = _scan(part, shared.value or NOTHING)
-                    yield pa.RecordBatch.from_arrays([part["row"], part["text"], *added], names=names)
-
-        rows = rows.mapInArrow(scan, f"row {row_type}, text string, {ADDED}")
-    return rows.drop("text")
+                    added = _scan(part, texts[start:end], shared.value)
+                    yield pa.RecordBatch.from_arrays([part["row"], *added], names=names)
+
+        rows = rows.mapInArrow(scan, f"row {row_type}, {ADDED}")
+        if following is None:
+            return rows
+        # One pass ends, and its block is released, before the next block is sent.
+        rows = stored(rows, "scans")
+        shared.destroy()
+        block, following = following, next(found, None)
 
 
 NOTHING = Block(
