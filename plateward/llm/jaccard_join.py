@@ -207,12 +207,14 @@ def prefixes(sets: DataFrame, percent: int, orders: int) -> DataFrame:
     prefix but can't be met. ``indexed`` is how many of ``p1`` belong to the
     shorter prefix. Classes whose prefix holds nothing else are left out.
     """
-    each = sets.select("node", "n", F.explode("shingles").alias("shingle"))
-    shared = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    # Stored, so that the shuffle of the count is gone before that of the join.
+    shared = stored(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "shared")
     lists = (
         each.join(shared, "shingle")
-        .groupBy("node", "n")
+        .groupBy("node")
         .agg(F.collect_list(F.struct("df", "shingle")).alias("shared"))
+        .join(sets.select("node", "n"), "node")
     )
     unshared = F.col("n") - F.size("shared")
     lists = lists.withColumns(
