@@ -150,3 +150,16 @@ def test_folds_grow_with_the_model(spark, mart):
     assert {tuple(r) for r in together.collect()} == {tuple(r) for r in alone.collect()}
     assert together.count() == 3 and together.agg(F.min("roc_auc")).first()[0] > 0.8
     assert len(trained.models) == 4
+
+
+def test_equal_rows_are_merged_before_training(spark, monkeypatch):
+    i = F.col("id")
+    few = {name: (i * (k + 3) % 4).cast("int") for k, name in enumerate(FEATURES)}
+    rows = spark.range(400).select(*(c.alias(name) for name, c in few.items()), (i % 4 > 1).cast("int").alias("label"))
+    rows = rows.withColumn("weight", F.when(F.col("label") == 1, 1.5).otherwise(1.0))
+    kept = model.merged(rows)
+    assert kept.count() == rows.distinct().count() == 4
+    assert kept.agg(F.sum("weight")).first()[0] == 200 * 1.5 + 200
+    plain = model.score(model.fit(rows, trees=2), rows).agg(F.sum("score")).first()[0]
+    monkeypatch.setattr(model, "MERGED_FROM", 1)
+    assert model.score(model.fit(rows, trees=2), rows).agg(F.sum("score")).first()[0] == pytest.approx(plain)
