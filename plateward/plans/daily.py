@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -93,7 +94,7 @@ def publish_run(spark: SparkSession, warehouse: str, run: Run) -> None:
 
 def ingest(
     spark: SparkSession,
-    source: str,
+    source: str | Sequence[str],
     target: str,
     on_bad: str = "quarantine",
     ingested_at: datetime | None = None,
@@ -144,7 +145,7 @@ def check(tests: DataFrame) -> None:
 
 def run_daily(
     spark: SparkSession,
-    source: str,
+    source: str | Sequence[str],
     warehouse: str,
     run_id: str | None = None,
     on_bad: str = "quarantine",

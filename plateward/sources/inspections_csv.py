@@ -94,7 +94,9 @@ def read_inspections(
         texts = split_records.records(spark, path).select(parsed.alias("r")).select("r.*")
     else:
         texts = spark.read.options(**options, multiLine=multi_line).schema(schema).csv(path)
-        texts = texts.hint("rebalance")  # files are few or uneven: spread the rows before they are encoded
+        # Files fewer than cores: spread the rows before they are encoded. More are parsed and encoded in one go.
+        if texts.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+            texts = texts.hint("rebalance")
     present = {c: missing_to_null(F.col(c), tokens) for c in RAW_COLUMNS}
     typed = {c: present[c].try_cast(kind) for c, kind in RAW_TYPES.items()}
 
