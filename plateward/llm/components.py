@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from plateward.session import stored
+from plateward.session import remove, scratch_path, stored
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
@@ -21,9 +21,10 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
-    least = _least_neighbour(down)
-    near = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return near.unionByName(least.select("u", F.col("m").alias("v")))
+    joined = down.join(_least_neighbour(down), "u")
+    # Both links of a row at once, so that the join is planned and run once; repeated ones go with distinct().
+    ends = F.array(F.col("v"), F.col("u"))
+    return joined.select(F.explode(ends).alias("u"), F.col("m").alias("v")).where("u > v").distinct()
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -45,7 +46,11 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _print(edges)) != before:
         before = now
-        edges = stored(_small_star(_large_star(edges)).distinct(), "links")
+        # Each star is a job of its own: in one, the small star would plan the large one several times.
+        path = scratch_path(edges.sparkSession, "large-star")
+        large = stored(_large_star(edges), "large-star", path)
+        edges = stored(_small_star(large), "links")
+        remove(edges.sparkSession, path)
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

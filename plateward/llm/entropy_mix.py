@@ -174,9 +174,10 @@ def _bounds(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
     rated = by_source(units, sources).select(
         "source", "target", (F.col("rows") * F.col("size")).alias("words"), "key", tilted.alias("tilted")
     )
-    ranges = (
+    ranges = stored(
         rated.groupBy("source", "target", _bucket(F.col("key"), F.col("tilted")).alias("bucket"))
-        .agg(F.sum("words").alias("words"), F.sum(F.col("words") * F.floor(F.col("tilted") + 1e-9)).alias("whole"))
+        .agg(F.sum("words").alias("words"), F.sum(F.col("words") * F.floor(F.col("tilted") + 1e-9)).alias("whole")),
+        "ranges",
     )
     of_source = Window.partitionBy("source")
     upto = of_source.orderBy("bucket")
@@ -232,7 +233,7 @@ def _corrected(units: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
     # The largest that fits: going past the target would leave nothing to correct with.
     largest = F.struct("words", "key")
     best = (
-        by_source(counted, _gaps(counted), also=["side"])
+        by_source(counted, stored(_gaps(counted), "gaps"), also=["side"])
         .where(~F.col("picked") & (F.col("words") > 0) & (F.abs("gap") > NEAR * F.col("target")))
         .withColumn("change", change)
         .where(F.col("change").isNotNull() & (F.col("words") <= F.abs("gap")))

@@ -3,8 +3,10 @@ import re
 
 import pytest
 
+from plateward.llm import components as components_module
 from plateward.llm.components import components
 from plateward.llm.jaccard_join import groups, one_per_group
+from plateward.session import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -96,3 +98,18 @@ def test_components(spark):
     df = spark.createDataFrame(links, "a bigint, b bigint")
     rows = {r["node"]: r["component"] for r in components(df).collect()}
     assert rows == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 104)}}
+
+
+def test_no_job_of_components_plans_a_star_twice(spark, monkeypatch):
+    """The driver holds a whole job's plan; before, a round was one job of 16 joins and aggregations."""
+    steps = {}
+
+    def noted(df, name, *rest, **more):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        steps[name] = max(steps.get(name, 0), plan.count("Join ") + plan.count("HashAggregate("))
+        return stored(df, name, *rest, **more)
+
+    monkeypatch.setattr(components_module, "stored", noted)
+    df = spark.createDataFrame([(k, k + 1) for k in range(20)], "a bigint, b bigint")
+    assert {r["component"] for r in components(df).collect()} == {0}
+    assert max(steps.values()) <= 5, steps
